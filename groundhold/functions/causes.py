@@ -10,8 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _zero(value: Column | str) -> Column:
-    return F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(0.0))
+def _col(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+def _first_largest(ranked: list[tuple[str, Column]], most: Column) -> Column:
+    """Name of the first entry that reaches ``most``; NULL entries never do."""
+    return F.coalesce(*[F.when(value == most, name) for name, value in ranked])
 
 
 def primary_delay_cause(
@@ -26,19 +31,22 @@ def primary_delay_cause(
     """Cause with the most minutes among the four main ones, earlier names winning ties.
 
     Cancelled flights and departures up to 15 minutes late come first; security
-    counts only when the four main causes are all zero.
+    counts only when the four main causes are all zero or missing.
     """
     ranked = [
-        ("Weather", _zero(weather)),
-        ("NAS/ATC", _zero(nas)),
-        ("Late Aircraft", _zero(late_aircraft)),
-        ("Carrier", _zero(carrier)),
+        ("Weather", _col(weather)),
+        ("NAS/ATC", _col(nas)),
+        ("Late Aircraft", _col(late_aircraft)),
+        ("Carrier", _col(carrier)),
     ]
-    most = F.greatest(*[minutes for _, minutes in ranked])
-    cause = F.when(_zero(cancelled) == 1, "Cancelled").when(_zero(dep_delay_minutes) <= 15, "On Time")
-    for name, minutes in ranked:
-        cause = cause.when((most > 0) & (minutes == most), name)
-    return cause.when(_zero(security) > 0, "Security").otherwise("Other")
+    most = F.greatest(*[minutes for _, minutes in ranked])  # skips NULLs
+    return (
+        F.when(_col(cancelled) == 1, "Cancelled")
+        .when(F.coalesce(_col(dep_delay_minutes), F.lit(0.0)) <= 15, "On Time")
+        .when(most > 0, _first_largest(ranked, most))
+        .when(_col(security) > 0, "Security")
+        .otherwise("Other")
+    )
 
 
 def dominant_delay_cause(
@@ -49,13 +57,9 @@ def dominant_delay_cause(
 ) -> Column:
     """Most frequent cause of a route; ties go to the earlier argument."""
     ranked = [
-        ("Weather", weather),
-        ("Late Aircraft", late_aircraft),
-        ("NAS/ATC", nas),
-        ("Carrier", carrier),
+        ("Weather", _col(weather)),
+        ("Late Aircraft", _col(late_aircraft)),
+        ("NAS/ATC", _col(nas)),
+        ("Carrier", _col(carrier)),
     ]
-    counts = [F.col(c) if isinstance(c, str) else c for _, c in ranked]
-    most = F.greatest(*counts)
-    return F.coalesce(
-        *[F.when(count == most, name) for (name, _), count in zip(ranked, counts)]
-    )
+    return _first_largest(ranked, F.greatest(*[count for _, count in ranked]))

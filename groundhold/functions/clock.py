@@ -28,8 +28,11 @@ def scheduled_hour(hhmm: Column | str) -> Column:
 
 
 def hhmm_to_minutes(hhmm: Column | str) -> Column:
-    """Minutes after midnight of an HHMM number: 1430 -> 870; NULL stays NULL."""
-    return scheduled_hour(hhmm) * 60 + (_col(hhmm) % 100).cast("int")
+    """Minutes after midnight of an HHMM number: 1430 -> 870; NULL stays NULL.
+
+    An hour is 100 in HHMM and 60 in minutes, so 40 per hour come off.
+    """
+    return (_col(hhmm) - F.floor(_col(hhmm) / 100) * 40).cast("int")
 
 
 def day_name(iso_weekday: Column | str) -> Column:

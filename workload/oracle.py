@@ -471,6 +471,7 @@ ORACLE["cascade_by_destination"] = statement(
 
 
 def impact(days: str, delays: list[int], top: int = 20) -> str:
+    """Impact per day and trigger delay; ``days`` gives the airport, date and direct flights."""
     scenarios = "(values " + ", ".join(f"(cast({d} as double))" for d in delays) + ") as s(delay)"
     return statement(
         f"""
@@ -480,24 +481,25 @@ select airport, flight_date, delay as trigger_delay_minutes, direct as directly_
   round(floor(pax) * delay * {PASSENGER_RATE}, 2) as estimated_passenger_cost,
   round((direct + cascade) * delay * {FLIGHT_RATE}, 2) as estimated_airline_cost,
   round(floor(pax) * delay * {PASSENGER_RATE} + (direct + cascade) * delay * {FLIGHT_RATE}, 2) as total_economic_impact,
-  coalesce(dests, '') as affected_destinations
+  ifnull(dests, '') as affected_destinations
 from (
-  select airport, flight_date, delay, direct, {bigint('coalesce(n, 0)')} as cascade, dests,
-    (direct + coalesce(n, 0)) * {PAX} as pax
-  from days join {scenarios} on true
-  left join (
-    select hub, flightdate, delay, sum(n) as n,
-      string_agg(outbound_dest, ',' order by n desc, outbound_dest) filter (where place <= {top}) as dests
-    from (
-      select hub, flightdate, delay, outbound_dest, count(*) as n,
-        row_number() over (partition by hub, flightdate, delay order by count(*) desc, outbound_dest) as place
-      from pairs join {scenarios} on turnaround_gap <= 45 + floor(delay) group by all
-    ) group by all
-  ) reached on hub = airport and flightdate = flight_date and reached.delay = s.delay
-)
-""".replace("airport, flight_date, delay, direct,", "airport, flight_date, s.delay as delay, direct,"),
+  select airport, flight_date, s.delay, direct, {bigint('ifnull(n, 0)')} as cascade, dests, (direct + ifnull(n, 0)) * {PAX} as pax
+  from days cross join {scenarios}
+  left join reached on hub = airport and flightdate = flight_date and reached.delay = s.delay
+)
+""",
         "pairs",
         days=days,
+        reach=(
+            "select hub, flightdate, delay, outbound_dest, count(*) as n "
+            f"from pairs join {scenarios} on turnaround_gap <= 45 + floor(delay) group by hub, flightdate, delay, outbound_dest"
+        ),
+        placed="select *, row_number() over (partition by hub, flightdate, delay order by n desc, outbound_dest) as place from reach",
+        reached=(
+            "select hub, flightdate, delay, sum(n) as n, "
+            f"string_agg(outbound_dest, ',' order by place) filter (where place <= {top}) as dests "
+            "from placed group by hub, flightdate, delay"
+        ),
     )
 
 
@@ -570,8 +572,8 @@ ORACLE["cascade_destination_detail"] = statement(
     """
 select f.origin as hub, f.flightdate, f.dest as outbound_dest, count(*) as flights, round(avg(depdelayminutes), 0) as avg_delay
 from flights f join (
-  select hub, flightdate, outbound_dest from pairs where turnaround_gap <= 135 group by all
-  qualify row_number() over (partition by hub, flightdate order by count(*) desc, outbound_dest) <= 10
+  select * from (select hub, flightdate, outbound_dest, count(*) as n from pairs where turnaround_gap <= 135 group by all)
+  qualify row_number() over (partition by hub, flightdate order by n desc, outbound_dest) <= 10
 ) top on top.hub = f.origin and top.flightdate = f.flightdate and top.outbound_dest = f.dest
 where depdelayminutes > 0 group by all
 """,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from groundhold.operators.quality import DEFAULT_EXPECTATIONS
 from groundhold.params import CostParameters
 from groundhold.plans.portfolio import airline_route_performance
 from groundhold.schemas import RAW_AIRSPACE, RAW_FLIGHTS, RAW_POSITIONS, RAW_WEATHER
-from groundhold.session import scratch_path
+from groundhold.session import scratch_path, tune
 
 from . import payloads
 from .frames import derive
@@ -30,8 +30,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return function(tune(spark), sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 # ------------------------------------------------------------------ inputs
