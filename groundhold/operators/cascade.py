@@ -104,19 +104,27 @@ def _connection_load(
         .groupBy(*GROUP, "arr_minute", "longest_gap")
         .agg(*[column.alias(name) for name, column in weights.items()])
     )
-    edges = []
-    for tier, (first, last) in enumerate(tiers):
-        reaches = F.col("longest_gap") >= first
-        end = F.col("arr_minute") + F.least(F.lit(last), F.col("longest_gap")) + 1
-        for minute, sign in ((F.col("arr_minute") + first, 1), (end, -1)):
-            edge = F.struct(minute.alias("minute"), F.lit(tier).alias("tier"), F.lit(sign).alias("sign"))
-            edges.append(F.when(reaches, edge))
+    # where a bin's stretch enters each tier it reaches (leaving the one before), and where it ends
+    reaches = [F.col("longest_gap") >= first for first, _ in tiers]
+    last_tier = sum((r.cast("int") for r in reaches[1:]), F.lit(0))
+
+    def edge(minute: Column, enters: Column, leaves: Column) -> Column:
+        return F.struct(minute.alias("minute"), enters.alias("enters"), leaves.alias("leaves"))
+
+    edges = [
+        F.when(reached, edge(F.col("arr_minute") + first, F.lit(tier), F.lit(tier - 1)))
+        for tier, (reached, (first, _)) in enumerate(zip(reaches, tiers))
+    ]
+    past = F.least(F.lit(tiers[-1][1]), F.col("longest_gap")) + 1
+    edges.append(edge(F.col("arr_minute") + past, F.lit(-1), last_tier))
+
+    def change(tier: int, weight: str) -> Column:
+        return F.sum(
+            F.when(F.col("enters") == tier, F.col(weight)).when(F.col("leaves") == tier, -F.col(weight)).otherwise(0)
+        )
+
     changes = bins.select("*", F.inline(F.array_compact(F.array(*edges)))).groupBy(*GROUP, "minute").agg(
-        *[
-            F.sum(F.when(F.col("tier") == tier, F.col("sign") * F.col(name)).otherwise(0)).alias(f"{name}_{tier}")
-            for tier in range(len(tiers))
-            for name in weights
-        ]
+        *[change(tier, name).alias(f"{name}_{tier}") for tier in range(len(tiers)) for name in weights]
     )
     so_far = W.partitionBy(*GROUP).orderBy("minute").rangeBetween(W.unboundedPreceding, W.currentRow)
     loads = [f"{name}_{tier}" for tier in range(len(tiers)) for name in weights]
