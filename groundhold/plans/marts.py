@@ -113,9 +113,9 @@ def materialize_marts(
     """Rebuild all marts as Parquet tables below ``out`` and return their paths.
 
     The flights are scanned once: their cells are written first and both mart
-    chains read them back, which also cuts the lineage, so a lost executor costs a
-    re-read of cells and not of raw flights. The two large marts are laid out by
-    their leading key, the route mart with its costliest routes first in each file.
+    chains read them back, which also cuts the lineage: a lost executor costs a
+    re-read of cells, not of raw flights. The route mart has its costliest routes
+    first in each file.
     """
     spark = raw_flights.sparkSession
     paths = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from groundhold import functions as fn
@@ -435,8 +435,6 @@ def rolling_7row_avg(spark, sf):
 @query
 def rank_ntile(spark, sf):
     """Rank and quintile over every airport and weekday group of departures."""
-    from pyspark.sql import Window
-
     groups = flights(spark, sf).groupBy("origin", "dayofweek").agg(
         F.count(F.lit(1)).alias("flights"), fn.percent(F.count(F.when(F.col("depdel15") == 1, 1)), F.count(F.lit(1))).alias("pct")
     )
