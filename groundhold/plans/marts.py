@@ -70,7 +70,7 @@ def mart_cascade_vulnerability(econ: DataFrame, min_departures: int = 1000) -> D
             vulnerability_score("avg_pct_delayed", "avg_late_aircraft_delay", "max_routes_served", "max_airlines"),
         )
     )
-    rank = F.rank().over(Window.orderBy(F.col("score").desc()))
+    rank = F.rank().over(Window.orderBy(F.col("score").desc())).cast("long")
     return airports.select(
         *[name for name in airports.columns if name != "score"],
         F.round("score", 1).alias("cascade_vulnerability_score"),

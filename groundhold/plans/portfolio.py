@@ -82,8 +82,8 @@ def hub_vulnerability_ranking(
     return (
         hubs.withColumn("score", score)
         .withColumn("cascade_vulnerability_score", F.round("score", 1))
-        .withColumn("vulnerability_rank", F.rank().over(by_score))
-        .withColumn("delay_quintile", F.ntile(5).over(by_rate))
+        .withColumn("vulnerability_rank", F.rank().over(by_score).cast("long"))
+        .withColumn("delay_quintile", F.ntile(5).over(by_rate).cast("long"))
         .drop("score")
         .orderBy(F.col("cascade_vulnerability_score").desc(), "airport")
         .limit(n)

@@ -442,8 +442,8 @@ def rank_ntile(spark, sf):
         "origin",
         "dayofweek",
         "pct",
-        F.rank().over(Window.orderBy(F.col("pct").desc())).alias("pct_rank"),
-        F.ntile(5).over(Window.orderBy(F.col("pct").desc(), "origin", "dayofweek")).alias("quintile"),
+        F.rank().over(Window.orderBy(F.col("pct").desc())).cast("long").alias("pct_rank"),
+        F.ntile(5).over(Window.orderBy(F.col("pct").desc(), "origin", "dayofweek")).cast("long").alias("quintile"),
     )
 
 
