@@ -525,7 +525,9 @@ ORACLE["simulate_cascade"] = impact(
 )
 
 
-def chain(hubs: str, min_delay: int, first: int, last: int) -> str:
+def chain(hubs: str, min_delay: int, first: int, last: int, one: tuple[str, str] | None = None) -> str:
+    """Both levels per hub and day; for ``one`` hub and day level 0 is a plain aggregate, so it always has its row."""
+    arrivals = "hub as airport, flightdate as flight_date" if one is None else "'{}' as airport, '{}' as flight_date".format(*one)
     cols = (
         "count(distinct flight_num) as flights_affected, {dests} as destinations_affected, "
         "round(avg(delay), 1) as avg_delay_propagated, round(min(delay), 1) as min_delay, round(max(delay), 1) as max_delay, "
@@ -533,8 +535,8 @@ def chain(hubs: str, min_delay: int, first: int, last: int) -> str:
     )
     return statement(
         f"""
-select hub as airport, flightdate as flight_date, 0 as cascade_level, {cols.format(dests='cast(1 as bigint)')}
-from late group by all
+select {arrivals}, 0 as cascade_level, {cols.format(dests='cast(1 as bigint)')}
+from late {'group by all' if one is None else ''}
 union all
 select o.origin, o.flightdate, 1, {cols.format(dests='count(distinct o.dest)').replace('flight_num)', 'o.flight_number_reporting_airline)').replace('(delay)', '(o.depdelayminutes)')}
 from flights o join late on late.hub = o.origin and late.flightdate = o.flightdate and late.airline = o.iata_code_reporting_airline
@@ -553,7 +555,7 @@ group by all
 
 ORACLE["cascade_chain"] = (
     "select cascade_level, flights_affected, destinations_affected, avg_delay_propagated, min_delay, max_delay, est_passengers from ("
-    + chain("dest = 'ORD' and flightdate = '2025-10-15'", 30, 20, 180)
+    + chain("dest = 'ORD' and flightdate = '2025-10-15'", 30, 20, 180, one=("ORD", "2025-10-15"))
     + ")"
 )
 ORACLE["cascade_chain_all_hubs"] = chain("true", 30, 20, 180)
