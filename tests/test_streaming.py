@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from groundhold import streaming
 from groundhold.schemas import RAW_AIRSPACE, RAW_POSITIONS, RAW_WEATHER
 from groundhold.sources import read_raw
@@ -83,14 +85,15 @@ def test_latest_weather(spark, tmp_path):
     assert step(weather_row("KORD", "t0", 0.0)) == {"KORD": 3.0, "KJFK": 9.0}
 
 
-def test_dedup_across_batches(spark, tmp_path):
+@pytest.mark.parametrize("lateness", ["1 hour", None])
+def test_dedup_across_batches(spark, tmp_path, lateness):
     landing, table, checkpoint = folders(tmp_path, "landing", "table", "checkpoint")
 
     def step(*polls):
         rows = [("ORD", "Ground Stop", "WX", "", "", "", "", True, poll) for poll in polls]
         spark.createDataFrame(rows, RAW_AIRSPACE).coalesce(1).write.mode("append").parquet(str(landing))
         stream = spark.readStream.schema(RAW_AIRSPACE).parquet(str(landing))
-        unique = streaming.stream_dedup_airspace(stream, "1 hour")
+        unique = streaming.stream_dedup_airspace(stream, lateness)
         run(
             unique.writeStream.format("parquet").option("checkpointLocation", str(checkpoint))
             .trigger(availableNow=True).start(str(table))
@@ -100,3 +103,6 @@ def test_dedup_across_batches(spark, tmp_path):
     first, second = "2025-10-15T12:00:00+00:00", "2025-10-15T12:01:00+00:00"
     assert step(first, first) == [first]
     assert step(first, second) == [first, second]
+    if lateness is None:  # a poll that arrives hours late still counts, once
+        late = "2025-10-15T01:00:00+00:00"
+        assert step(late, late) == [late, first, second]
