@@ -1,7 +1,7 @@
 """groundhold: flight-delay economics on Spark.
 
 Every public function takes DataFrames and returns a lazy DataFrame (or takes
-Columns and returns a Column); nothing is collected on the driver.
+Columns and returns a Column); no flight data is collected on the driver.
 
 * ``groundhold.sources``    readers, sinks and seed tables
 * ``groundhold.functions``  column functions
