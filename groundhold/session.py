@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,16 +47,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Where the session names none and runs in local mode (tests), a temporary
-    folder is made and used as checkpoint folder. On a cluster a machine-local
-    folder would be lost with its executor, so a missing setting is an error.
+    Where the session names none, a folder below the warehouse is used and set as
+    checkpoint folder: the warehouse is shared by the driver and all executors.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="groundhold-")
+    path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/groundhold-scratch"
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 
