@@ -42,3 +42,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a materialized table for broadcast if it was counted as small; else leaves the join to Spark."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def numbered(docs: DataFrame, id_col: str, name: str) -> DataFrame:
+    """Adds __row, a number that tells rows apart and orders them.
+
+    Where all ids are there and differ, it is the id. Else the rows are written once with a number each.
+    """
+    ids = docs.groupBy(F.col(id_col).alias("id")).count()
+    if ids.filter("id is null or count > 1").isEmpty():
+        return docs.withColumn("__row", F.col(id_col).cast("long"))
+    return materialize(docs.withColumn("__row", F.monotonically_increasing_id()), name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_sort, mixing, packing, risk_quality, set_sketch
+from . import content_sort, mixing, packing, risk_quality, sentence_spans, set_sketch, warc_derivatives
 from .common import table
 
 
@@ -18,6 +18,26 @@ def _tokenizer() -> dict[str, str]:
     }
 
 
+# The stored pages carry no time of their own; the records get this one.
+CRAWLED = "2025-01-01T00:00:00Z"
+
+
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document, as counts and a digest."""
+    cut = sentence_spans.cut_passages(table(spark, sf_dir, "documents"))
+    return cut.select(
+        F.col("id").alias("doc_id"), "n_sentences", "n_removed", "removed_words",
+        F.char_length("text").cast("long").alias("left_chars"), F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derivatives' headers; of the records themselves a digest."""
+    records = warc_derivatives.responses(table(spark, sf_dir, "pages"), CRAWLED)
+    derived = warc_derivatives.derive(records).withColumnRenamed("id", "page_id")
+    return derived.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+
+
 def op5_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_groups(table(spark, sf_dir, "documents"))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .graph import connected_components
+from .hashing import Words, mixed
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -21,53 +22,23 @@ RATE = 20.0
 UNLIKELY = 18.0  # a candidate goes if its likelihood at the threshold is e^18 times smaller than at its best
 
 SKETCH_SCHEMA = "id long, n long, a long, b long, registers binary"
-_PRIME = 0x9E3779B97F4A7C15 | 1
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A full-avalanche finisher for 64-bit numbers."""
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(31))
 
 
 class Shingles:
-    """Hashes of all runs of words, for many texts at once.
-
-    A prefix sum of byte times a power gives each word's polynomial hash (arithmetic
-    modulo 2^64, whose odd factors have inverses); a run's hash mixes those of its words.
-    """
+    """The distinct hashed runs of ``width`` words of a text, sorted; fewer words make one run."""
 
     def __init__(self, width: int):
-        self.width = width
-        self.powers = np.ones(1, np.uint64)
-        self.inverse = np.ones(1, np.uint64)
-        self.space = np.zeros(256, bool)
-        self.space[[0x20, *range(0x09, 0x0E)]] = True
+        self.width, self.words = width, Words()
         rng = np.random.default_rng(5)
         self.places = rng.integers(1, 1 << 63, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def _grow(self, n: int) -> None:
-        if n > len(self.powers):
-            for name, step in (("powers", _PRIME), ("inverse", pow(_PRIME, -1, 1 << 64))):
-                steps = np.full(n, step, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-
     def __call__(self, text: str | None) -> np.ndarray:
-        """The distinct shingles of one text, sorted."""
-        raw = np.frombuffer(("" if text is None else text).encode().lower(), np.uint8)
-        space = self.space[raw]
-        edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
-        starts, ends = edge[::2], edge[1::2]
-        if not len(starts):
-            return np.empty(0, np.uint64)
-        self._grow(len(raw) + 1)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self.powers[: len(raw)])))
-        word = _mixed((total[ends] - total[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        word = self.words(text)[3]
+        if not len(word):
+            return word
         width = min(self.width, len(word))
         runs = sum(word[i : len(word) - width + 1 + i] * self.places[i] for i in range(width))
-        return np.unique(_mixed(runs + np.uint64(width)))
+        return np.unique(mixed(runs + np.uint64(width)))
 
 
 def registers(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
