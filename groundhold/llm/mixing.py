@@ -114,7 +114,7 @@ def plan(
     chosen = per_shard.filter("blocks > 0").select("no", "shard", "block", (F.floor(F.col("quota") / F.col("blocks")) + extra).alias("times"))
     last = F.floor((F.col("at") + F.col("size") - 1) / block_words)
     touched = placed.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / block_words), last)))
-    return placed, touched.join(chosen, ["no", "shard", "block"])
+    return placed, touched.join(chosen.hint("merge"), ["no", "shard", "block"])
 
 
 def _overlap(block_words: int) -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -19,6 +19,7 @@ PERCENT = 80
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band with chance (1 - 0.8^5)^32 = 3e-6
 BASE = 1.001  # registers step by this factor
 RATE = 20.0
+WIDE = 16  # members from which on a bucket is worth a centre
 UNLIKELY = 18.0  # a candidate goes if its likelihood at the threshold is e^18 times smaller than at its best
 
 SKETCH_SCHEMA = "id long, n long, a long, b long, registers binary"
@@ -121,7 +122,7 @@ def likely(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full shingle sets share ``percent`` of their union; ``texts`` has id and text.
+    """(x, y, both, linked): shingles in both full sets, and whether they are ``percent`` of the union.
 
     Texts travel to the pairs, as they take less room than their sets. The set of the last y is kept, as the rows
     of a join arrive in its order.
@@ -130,28 +131,71 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, last, set_y = Shingles(width), None, None
         for batch in batches:
-            out = []
-            for x, y, tx, ty in zip(*(batch[c] for c in ("x", "y", "tx", "ty")), strict=True):
+            counts, linked = [], []
+            for y, tx, ty in zip(*(batch[c] for c in ("y", "tx", "ty")), strict=True):
                 if last is None or y.as_py() != last:
                     last, set_y = y.as_py(), shingle(ty.as_py())
                 set_x = shingle(tx.as_py())
                 both = len(np.intersect1d(set_x, set_y, assume_unique=True))
-                out.append(100 * both >= percent * (len(set_x) + len(set_y) - both) and both > 0)
-            kept = pa.array(out, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["x"].filter(kept), batch["y"].filter(kept)], ["x", "y"])
+                counts.append(both)
+                linked.append(both > 0 and 100 * both >= percent * (len(set_x) + len(set_y) - both))
+            columns = [batch["x"], batch["y"], pa.array(counts, pa.int64()), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["x", "y", "both", "linked"])
 
     first = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("tx")), "x")
     both = first.join(texts.select(F.col("id").alias("y"), F.col("text").alias("ty")), "y")
-    return both.select("x", "y", "tx", "ty").mapInArrow(check, "x long, y long")
+    return both.select("x", "y", "tx", "ty").mapInArrow(check, "x long, y long, both long, linked boolean")
+
+
+def _texts_of(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """The texts that pairs (or members) speak of; the merge hint keeps one plan for every size."""
+    ids = pairs.select(F.explode(F.array(*[c for c in ("x", "y") if c in pairs.columns])).alias("id")).distinct()
+    return materialize(texts.join(ids.hint("merge"), "id", "left_semi"), name)
 
 
 def _tested(pairs: DataFrame, slim: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     left = slim.select(F.col("id").alias("x"), F.col("n").alias("nx"), F.col("registers").alias("rx"))
     right = slim.select(F.col("id").alias("y"), F.col("n").alias("ny"), F.col("registers").alias("ry"))
     candidates = materialize(likely(pairs.join(left, "x").join(right, "y"), percent), "candidates")
-    needed = candidates.select(F.col("x").alias("id")).union(candidates.select(F.col("y").alias("id"))).distinct()
-    wanted = materialize(texts.join(needed, "id", "left_semi"), "candidate-texts")
-    return materialize(verify(candidates, wanted, width, percent), "verified")
+    found = verify(candidates, _texts_of(candidates, texts, "candidate-texts"), width, percent)
+    return materialize(found.filter("linked").select("x", "y"), "verified")
+
+
+def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of buckets that hold two groups or more, with their group ``of`` and the bucket's largest group ``main``."""
+    own = members.join(groups, F.col("id") == F.col("node"), "left")
+    own = own.select("key", "id", "n", "shared", F.coalesce("component", "id").alias("of"))
+    own = materialize(own, "grouped-members")
+    parts = own.groupBy("key", "of").agg(F.count("*").alias("size"))
+    split = parts.groupBy("key").agg(
+        F.count("*").alias("parts"), F.max_by("of", F.struct("size", "of")).alias("main"),
+        F.sum("size").alias("members"),
+    )
+    split = materialize(split.filter("parts > 1").select("key", "main", "members"), "split-buckets")
+    return materialize(own.join(split, "key"), "open-members")
+
+
+def _shared(texts: DataFrame, width: int) -> DataFrame:
+    """(of, own): how many of a text's shingles no other of the texts has. Shingles are cut to 32 bits: two that fall
+    together count as shared, so ``own`` is never too large."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingles(width)
+        for batch in batches:
+            for row, text in zip(batch["id"].to_pylist(), batch["text"], strict=True):
+                own = np.unique(shingle(text.as_py()).astype(np.uint32)).view(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), row, np.int64)), pa.array(own)], ["id", "s"])
+
+    each = texts.select("id", "text").mapInArrow(shingles, "id long, s int")
+    single = each.groupBy("s").agg(F.count("*").alias("n"), F.min("id").alias("of")).filter("n = 1")
+    return single.groupBy("of").agg(F.count("*").alias("own"))
+
+
+def _comparable(x: tuple[str, str], y: tuple[str, str], percent: int) -> Column:
+    """Whether the sets could share enough: of sizes n, only ``shared`` shingles occur in another text at all."""
+    (nx, sx), (ny, sy) = x, y
+    both = F.least(nx, ny, sx, sy)
+    return 100 * both >= percent * (F.col(nx) + F.col(ny) - both)
 
 
 def near_duplicates(
@@ -163,7 +207,9 @@ def near_duplicates(
     compared. Classes that share the registers of a band meet in a bucket. Every member of a bucket is first tested
     against the bucket's smallest id, one test per member; groups that this joins need no further tests among
     themselves. What is then still apart in a bucket is tested against all members of the other groups, so no link that a
-    band offers is lost and tight groups of any size cost one test per member. A test compares registers by
+    band offers is lost. Before that, texts with too many shingles that no other such text has are let go, as they reach
+    80 % with none, and in wide buckets the others are tested against one centre of the bucket's largest group, which bounds
+    what any two of them can share. So groups of any size cost a few tests per member. A test compares registers by
     likelihood and then the full sets.
 
     Linked are texts whose sets share ``percent`` or more of their union; a text with fewer words than ``width`` has one
@@ -186,33 +232,69 @@ def near_duplicates(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * step + 1, F.lit(step))),
     )
-    members = slim.select("id", F.explode(bands).alias("key"))
-    buckets = members.groupBy("key").agg(F.min("id").alias("y"), F.count("*").alias("size")).filter("size > 1")
-    buckets = materialize(buckets.select("key", "y"), "buckets")
-    members = materialize(members.join(buckets, "key").select("key", "id", "y"), "members")
+    members = slim.select("id", "n", F.explode(bands).alias("key"))
+    buckets = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first"), F.count("*").alias("size")).filter("size > 1")
+    buckets = materialize(buckets.select("key", F.col("first.id").alias("y"), F.col("first.n").alias("ny")), "buckets")
+    members = materialize(members.join(buckets, "key"), "members")
 
     # A class id may stand for two sets only if rows share an id; a text is then any of theirs.
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    stars = members.filter("id <> y").select(F.col("id").alias("x"), "y").distinct()
-    links = _tested(stars, slim, texts, width, percent)
-    groups = materialize(connected_components(links.union(copies), "x", "y"), "groups")
-
-    own = members.join(groups, F.col("id") == F.col("node"), "left").select(
-        "key", "id", F.coalesce("component", "id").alias("of")
-    )
-    own = materialize(own, "grouped-members")
-    parts = own.groupBy("key", "of").agg(F.count("*").alias("size"))
-    split = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("of", F.struct("size", "of")).alias("main"))
-    split = materialize(split.filter("parts > 1").select("key", "main"), "split-buckets")
-    open_members = materialize(own.join(split, "key"), "open-members")
-    apart = open_members.filter("of <> main").select("key", F.col("id").alias("x"), F.col("of").alias("ox"))
-    rest = open_members.select("key", F.col("id").alias("y"), F.col("of").alias("oy"), F.col("of").eqNullSafe(F.col("main")).alias("in_main"))
+    fit = _comparable(("n", "n"), ("ny", "ny"), percent)
+    tested = members.filter((F.col("id") != F.col("y")) & fit).select(F.col("id").alias("x"), "y").distinct()
+    tested = materialize(tested, "stars")
+    links = _tested(tested, slim, texts, width, percent)
+
+    def groups_of(links: DataFrame) -> DataFrame:
+        return materialize(connected_components(links.union(copies), "x", "y"), "groups")
+
+    def untested(pairs: DataFrame) -> DataFrame:
+        ordered = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+        return materialize(ordered.join(tested, ["x", "y"], "left_anti"), "open-pairs")
+
+    members = members.select("key", "id", "n", F.col("n").alias("shared"))
+    apart = _apart(members, groups_of(links))
+    # Who is still apart can only be linked with others in such buckets. A text with too many shingles of its own among
+    # them is linked with none.
+    texts = _texts_of(apart.select(F.col("id").alias("x")), texts, "open-texts")
+    single = _shared(texts, width)
+    members = apart.select("key", "id", "n").join(single, F.col("id") == F.col("of"), "left")
+    members = members.select("key", "id", "n", F.greatest(F.col("n") - F.coalesce("own", F.lit(0)), F.lit(0)).alias("shared"))
+    members = materialize(members.filter(100 * F.col("shared") >= percent * F.col("n")), "open-members")
+
+    # In large buckets all members are compared with one centre of the largest group, the one with the fewest shingles
+    # of its own. Two texts share at most what both share with the centre and what both have beside it.
+    apart = _apart(members, groups_of(links))
+    wide = apart.filter(f"members >= {WIDE}")
+    centre = F.max_by("id", F.struct(F.col("shared") / F.col("n"), "id"))
+    centres = wide.filter("of = main").groupBy("main").agg(centre.alias("y"))
+    centres = materialize(centres, "centres")
+    pairs = wide.join(centres, "main").filter("id <> y").select(F.col("id").alias("x"), "y").distinct()
+    pairs = materialize(pairs, "centre-pairs")
+    measured = materialize(verify(pairs, texts, width, percent), "centre-counts")
+    links = links.union(measured.filter("linked").select("x", "y"))
+    tested = tested.union(pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")))
+    apart = _apart(members, groups_of(links)).join(centres, "main", "left")
+    counts = measured.select(F.col("x").alias("id"), "y", "both")
+    near = F.when(F.col("id") == F.col("y"), F.col("shared")).otherwise(F.col("both"))
+    apart = apart.join(counts, ["id", "y"], "left").withColumn("near", near)
+    apart = materialize(apart.drop("y", "both"), "measured-members")
+
+    left = apart.filter("of <> main").select(
+        "key", F.col("id").alias("x"), F.col("of").alias("ox"), F.col("n").alias("nx"), F.col("shared").alias("sx"),
+        F.col("near").alias("cx"),
+    )
+    rest = apart.select(
+        "key", F.col("id").alias("y"), F.col("of").alias("oy"), F.col("n").alias("ny"), F.col("shared").alias("sy"), "main",
+        F.col("near").alias("cy"),
+    )
+    most = F.least("cx", "cy") + F.least(F.col("sx") - F.col("cx"), F.col("sy") - F.col("cy"))
+    bound = F.coalesce(100 * most >= percent * (F.col("nx") + F.col("ny") - most), F.lit(True))
     # Members outside the main group meet all others; among themselves each pair once.
-    pairs = apart.join(rest, "key").filter((F.col("ox") != F.col("oy")) & (F.col("in_main") | (F.col("y") < F.col("x"))))
-    pairs = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
-    pairs = materialize(pairs.join(stars, ["x", "y"], "left_anti"), "open-pairs")
-    more = _tested(pairs, slim, texts, width, percent)
-    groups = materialize(connected_components(links.union(more).union(copies), "x", "y"), "groups")
+    once = (F.col("oy") == F.col("main")) | (F.col("y") < F.col("x"))
+    fit = _comparable(("nx", "sx"), ("ny", "sy"), percent)
+    pairs = left.join(rest, "key").filter((F.col("ox") != F.col("oy")) & once & fit & bound)
+    links = links.union(_tested(untested(pairs.select("x", "y")), slim, texts, width, percent))
+    groups = groups_of(links)
 
     ids = found.select("id", "n").join(groups, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
