@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import content_sort, mixing, packing, risk_quality, sentence_spans, set_sketch, warc_derivatives
+from . import (
+    content_sort,
+    license_classifier,
+    line_edit_join,
+    mixing,
+    packing,
+    recurrent_lm,
+    risk_quality,
+    sentence_spans,
+    set_sketch,
+    warc_derivatives,
+)
 from .common import table
 
 
@@ -18,6 +29,14 @@ def _tokenizer() -> dict[str, str]:
     }
 
 
+def op1_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_edit_join.line_classes(table(spark, sf_dir, "documents")).drop("row")
+
+
 # The stored pages carry no time of their own; the records get this one.
 CRAWLED = "2025-01-01T00:00:00Z"
 
@@ -46,6 +65,11 @@ def op6_risk_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_license_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest leaves the probabilities out: their last digits depend on the order of sums."""
+    return license_classifier.licences(table(spark, sf_dir, "documents")).drop("probability")
+
+
 def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
