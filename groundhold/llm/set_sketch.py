@@ -256,8 +256,8 @@ def near_duplicates(
     # Who is still apart can only be linked with others in such buckets. A text with too many shingles of its own among
     # them is linked with none.
     texts = _texts_of(apart.select(F.col("id").alias("x")), texts, "open-texts")
-    single = _shared(texts, width)
-    members = apart.select("key", "id", "n").join(single, F.col("id") == F.col("of"), "left")
+    alone = _shared(texts, width)
+    members = apart.select("key", "id", "n").join(alone, F.col("id") == F.col("of"), "left")
     members = members.select("key", "id", "n", F.greatest(F.col("n") - F.coalesce("own", F.lit(0)), F.lit(0)).alias("shared"))
     members = materialize(members.filter(100 * F.col("shared") >= percent * F.col("n")), "open-members")
 
@@ -279,20 +279,23 @@ def near_duplicates(
     apart = apart.join(counts, ["id", "y"], "left").withColumn("near", near)
     apart = materialize(apart.drop("y", "both"), "measured-members")
 
+    keys = apart.groupBy(F.col("id").alias("holder")).agg(F.collect_set("key").alias("keys"))  # one per band at most
+    apart = materialize(apart.join(keys, F.col("id") == F.col("holder")).drop("holder"), "keyed-members")
     left = apart.filter("of <> main").select(
-        "key", F.col("id").alias("x"), F.col("of").alias("ox"), F.col("n").alias("nx"), F.col("shared").alias("sx"),
+        "key", F.col("keys").alias("kx"), F.col("id").alias("x"), F.col("of").alias("ox"), F.col("n").alias("nx"), F.col("shared").alias("sx"),
         F.col("near").alias("cx"),
     )
     rest = apart.select(
-        "key", F.col("id").alias("y"), F.col("of").alias("oy"), F.col("n").alias("ny"), F.col("shared").alias("sy"), "main",
+        "key", F.col("keys").alias("ky"), F.col("id").alias("y"), F.col("of").alias("oy"), F.col("n").alias("ny"), F.col("shared").alias("sy"), "main",
         F.col("near").alias("cy"),
     )
     most = F.least("cx", "cy") + F.least(F.col("sx") - F.col("cx"), F.col("sy") - F.col("cy"))
+    single = F.col("key") == F.array_min(F.array_intersect("kx", "ky"))  # a pair meets in its least common bucket only
     bound = F.coalesce(100 * most >= percent * (F.col("nx") + F.col("ny") - most), F.lit(True))
     # Members outside the main group meet all others; among themselves each pair once.
     once = (F.col("oy") == F.col("main")) | (F.col("y") < F.col("x"))
     fit = _comparable(("nx", "sx"), ("ny", "sy"), percent)
-    pairs = left.join(rest, "key").filter((F.col("ox") != F.col("oy")) & once & fit & bound)
+    pairs = left.join(rest, "key").filter((F.col("ox") != F.col("oy")) & once & fit & bound & single)
     links = links.union(_tested(untested(pairs.select("x", "y")), slim, texts, width, percent))
     groups = groups_of(links)
 
