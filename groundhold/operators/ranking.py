@@ -1,4 +1,4 @@
-"""Row-based windows, bounded top lists and the vulnerability score."""
+"""Row-based windows, top lists and the vulnerability score."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_mean
 
-MAX_TOP = 50
-
 
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -33,11 +31,11 @@ def rolling_7row_avg(
 
 
 def top_n(
-    df: DataFrame, order: str, n: int, tiebreak: Sequence[str], descending: bool = True, most: int = MAX_TOP
+    df: DataFrame, order: str, n: int, tiebreak: Sequence[str], descending: bool = True
 ) -> DataFrame:
-    """First ``n`` rows (held to 1..``most``) by ``order``; ``tiebreak`` makes the cut repeatable."""
+    """First ``n`` rows (at least one) by ``order``; ``tiebreak`` makes the cut repeatable."""
     first = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
-    return df.orderBy(first, *[F.col(c).asc_nulls_last() for c in tiebreak]).limit(min(max(1, n), most))
+    return df.orderBy(first, *[F.col(c).asc_nulls_last() for c in tiebreak]).limit(max(1, n))
 
 
 def distinct_dates(econ: DataFrame, airport: str, n: int = 30) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The published cost model (parameter_name, value, unit, source).
 COST_PARAMETER_ROWS = [
@@ -31,8 +32,13 @@ class CostParameters:
         rows = (
             parameters.filter(parameters.parameter_name.isin(names))
             .select("parameter_name", "value")
-            .take(len(names))
+            .groupBy("parameter_name")
+            .agg(F.min("value").alias("value"), F.max("value").alias("most"))
+            .collect()  # one row per name
         )
+        conflicting = sorted(row.parameter_name for row in rows if row.value != row.most)
+        if conflicting:
+            raise ValueError(f"cost parameters with several values: {conflicting}")
         values = {row.parameter_name: row.value for row in rows}
         missing = [name for name in names if name not in values]
         if missing:

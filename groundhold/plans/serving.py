@@ -67,7 +67,7 @@ def simulate_cascade(
         newest = flights.filter(
             F.col("crsdeptime").isNotNull() & F.col("crsarrtime").isNotNull() & (F.col("cancelled") == 0)
         ).agg(F.max("flightdate"))
-        flights = flights.filter(F.col("flightdate") == newest.scalar())
+        date = newest.first()[0]  # one row
     return cascade_impact(
         flights, [delay_minutes], hubs=[hub], dates=None if date is None else [date], costs=costs, top_dest=15
     )

@@ -23,7 +23,7 @@ def flatten_weather(payload: DataFrame) -> DataFrame:
     station = text("icaoId")
     fields = {
         "station_id": station,
-        "iata_code": F.when(station.startswith("K"), F.substring(station, 2, 10)).otherwise(station),
+        "iata_code": F.when(station.startswith("K"), F.substr(station, F.lit(2))).otherwise(station),
         "observation_time": text("reportTime"),
         "raw_metar": text("rawOb"),
         "wind_direction_deg": tolerant_double("wdir"),

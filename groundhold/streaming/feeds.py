@@ -141,20 +141,20 @@ def read_latest_weather(spark: SparkSession, path: str) -> DataFrame:
     return latest_weather(changes.drop("batch_id", "weather", "flight_category_meaning"))
 
 
-def stream_dedup_airspace(status: DataFrame, lateness: str | None = "1 hour") -> DataFrame:
+def stream_dedup_airspace(status: DataFrame, lateness: str | None = None) -> DataFrame:
     """One row per (airport, type, reason) of a poll on a stream of flat status rows.
 
     The poll time is part of the key, so equal rows share their event time and the
-    watermark only decides how long keys are remembered. Rows that arrive more than
-    ``lateness`` behind the newest poll are not compared any more and are dropped;
-    choose it above the longest outage of the collector. ``None`` remembers every
-    key: nothing is ever dropped for being late, and the state grows with the polls.
+    watermark only decides how long keys are remembered. By default every key is:
+    no first occurrence is ever dropped, however the input is batched, and the state
+    grows with the polls. With a ``lateness``, rows that arrive further behind the
+    newest poll are dropped; choose it above the longest outage of the collector.
     """
     keys = ["airport_code", "delay_type", "delay_reason", "polled_at"]
     if lateness is None:
         return status.dropDuplicates(keys)
     return (
-        status.withColumn("polled_ts", F.to_timestamp("polled_at"))
+        status.withColumn("polled_ts", F.try_to_timestamp("polled_at"))
         .withWatermark("polled_ts", lateness)
         .dropDuplicatesWithinWatermark(keys)
         .drop("polled_ts")

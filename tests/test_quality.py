@@ -21,17 +21,17 @@ FRESH = "2025-10-15T11:00:00+00:00"
 @pytest.mark.parametrize(
     "rows, more, status, issue",
     [
-        ([("a", FRESH)], {}, "healthy", "All checks passed"),
-        ([], {}, "critical", "Table is EMPTY"),
-        ([("a", FRESH)], {"least": 1500}, "warning", "Row count 1 below expected minimum 1,500"),
-        ([("a", "2025-10-15T05:30:00Z")], {}, "stale", "Data is 6.5 hours old (max allowed: 6h)"),
-        ([("a", "2025-10-15 05:30:00")], {}, "stale", "Data is 6.5 hours old (max allowed: 6h)"),
-        ([("a", "2025-10-15T06:00:00")], {}, "healthy", "All checks passed"),
-        ([("a", "2025-10-15T07:30:00+02:00")], {}, "stale", "Data is 6.5 hours old (max allowed: 6h)"),
-        ([("a", "yesterday")], {}, "healthy", "Could not parse freshness timestamp: yesterday"),
-        ([("a", FRESH)], {"required": ("k", "x", "y")}, "critical", "Missing columns: ['x', 'y']"),
-        ([(None, FRESH)] + [("a", FRESH)] * 4, {}, "healthy", "All checks passed"),
-        ([(None, FRESH)] * 21 + [("a", FRESH)] * 79, {}, "warning", "Column 'k' has 21.0% NULL values"),
+        ([("a", FRESH)], {}, "healthy", "no issues"),
+        ([], {}, "critical", "no rows"),
+        ([("a", FRESH)], {"least": 1500}, "warning", "only 1 rows, wanted at least 1,500"),
+        ([("a", "2025-10-15T05:30:00Z")], {}, "stale", "newest row 6.5 hours old, limit 6h"),
+        ([("a", "2025-10-15 05:30:00")], {}, "stale", "newest row 6.5 hours old, limit 6h"),
+        ([("a", "2025-10-15T06:00:00")], {}, "healthy", "no issues"),
+        ([("a", "2025-10-15T07:30:00+02:00")], {}, "stale", "newest row 6.5 hours old, limit 6h"),
+        ([("a", "yesterday")], {}, "healthy", "unreadable time of the newest row: yesterday"),
+        ([("a", FRESH)], {"required": ("k", "x", "y")}, "critical", "columns not found: ['x', 'y']"),
+        ([(None, FRESH)] + [("a", FRESH)] * 4, {}, "healthy", "no issues"),
+        ([(None, FRESH)] * 21 + [("a", FRESH)] * 79, {}, "warning", "Column 'k': 21.0% of values null"),
     ],
 )
 def test_status(spark, rows, more, status, issue):

@@ -222,18 +222,14 @@ TABLES = {
 def derive(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A derived raw table; a narrow projection of the source scan.
 
-    A small source file is one row group and thus one task; its (narrow) base
-    columns are spread over the cores first. A source with more splits than cores
-    is left as it is.
+    The (narrow) base columns are spread over the cores first, as a source file may
+    be one row group and thus one task.
     """
     source, layers = TABLES[table]
     df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
     base, *rest = layers(SPARK)
     cores = spark.sparkContext.defaultParallelism
-    small = df.rdd.getNumPartitions() <= cores
-    df = df.selectExpr(*base)
-    if small:
-        df = df.repartition(cores, df.columns[0])
+    df = df.selectExpr(*base).repartition(cores, base[0].split(" as ")[-1])
     for layer in rest:
         df = df.selectExpr(*layer)
     return df

@@ -849,16 +849,16 @@ select name, n, latest,
   case when null_pct > 20 then 'warning' when age > hour_limit then 'stale' when n = 0 then 'critical'
        when n < least then 'warning' else 'healthy' end as status,
   concat_ws('; ',
-    case when n = 0 then 'Table is EMPTY' end,
-    case when n > 0 and n < least then format('Row count {:,} below expected minimum {:,}', n, least) end,
-    case when age > hour_limit then printf('Data is %.1f hours old (max allowed: %dh)', age, hour_limit) end,
-    case when null_pct > 20 then printf('Column ''%s'' has %.1f%% NULL values', first_column, null_pct) end) as issues
+    case when n = 0 then 'no rows' end,
+    case when n > 0 and n < least then format('only {:,} rows, wanted at least {:,}', n, least) end,
+    case when age > hour_limit then printf('newest row %.1f hours old, limit %dh', age, hour_limit) end,
+    case when null_pct > 20 then printf('Column ''%s'': %.1f%% of values null', first_column, null_pct) end) as issues
 from aged
 """
 _HEALTH_TABLES = dict(measured=_MEASURED, aged=_AGED, health=_HEALTH)
 _READS = ("positions", "weather", "airspace", "vuln")
 ORACLE["table_health"] = statement(
-    "select name as table, status, if(issues = '', 'All checks passed', issues) as issues, n as row_count, latest as latest_record "
+    "select name as table, status, if(issues = '', 'no issues', issues) as issues, n as row_count, latest as latest_record "
     "from health",
     *_READS,
     **_HEALTH_TABLES,
