@@ -731,7 +731,7 @@ ORACLE["rank_ntile"] = statement(
 )
 ORACLE["top_n"] = statement(
     "select airport, flight_date, est_total_economic_impact from econ "
-    "order by est_total_economic_impact desc, airport, flight_date limit 50",
+    "order by est_total_economic_impact desc, airport, flight_date limit 99",
     "econ",
 )
 ORACLE["distinct_dates"] = statement(
