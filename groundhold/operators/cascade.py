@@ -11,7 +11,10 @@ as +n where the stretch starts and -n after it ends. A running sum over the
 minutes of one (hub, day, airline) then tells for every departure minute how many
 inbound flights reach it. The rows of one running sum are bounded by the minutes of
 a day times the hub's destinations, whatever the number of flights, so a hub that
-holds a third of the data is no slower to sum than any other.
+holds a third of the data is no slower to sum than any other. Where the flights
+themselves are wanted (matches, chain), the inbound bins are spread over the minutes
+they reach, summed per minute and joined to the departures by equality, which
+adaptive execution can split where a group is hot.
 
 Several trigger delays share one pass: the gap window is cut into tiers at the
 upper ends of the scenarios, and a scenario adds up the tiers below its own end.
@@ -19,7 +22,7 @@ upper ends of the scenarios, and a scenario adds up the tiers below its own end.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import product
 
@@ -31,7 +34,6 @@ from ..functions import hhmm_to_minutes
 from ..params import DEFAULT_COSTS, CostParameters
 
 GROUP = ["hub", "flightdate", "airline"]
-SLOT_MINUTES = 30
 
 
 @dataclass(frozen=True)
@@ -136,6 +138,28 @@ def _connection_load(
     return reached.filter(F.col("is_departure") & (any_load > 0)).drop("is_departure")
 
 
+def _minute_reach(
+    inbound: DataFrame, first_gap: int, weights: dict[str, tuple[Column, Callable[[str], Column]]]
+) -> DataFrame:
+    """Per departure minute of a (hub, day, airline), the weights of the inbound flights that reach it.
+
+    ``inbound`` holds flights with ``arr_minute`` and ``longest_gap``; a weight is an
+    aggregate of flights and the function that merges such aggregates. Flights are
+    merged by minute and gap before they are spread over the minutes they reach.
+    """
+    bins = (
+        inbound.filter(F.col("arr_minute").isNotNull() & (F.col("longest_gap") >= first_gap))
+        .groupBy(*GROUP, F.col("arr_minute").cast("int").alias("arr_minute"), "longest_gap")
+        .agg(*[column.alias(name) for name, (column, _) in weights.items()])
+    )
+    minutes = F.sequence(F.col("arr_minute") + first_gap, F.col("arr_minute") + F.col("longest_gap"))
+    return (
+        bins.withColumn("minute", F.explode(minutes))
+        .groupBy(*GROUP, "minute")
+        .agg(*[merge(name).alias(name) for name, (_, merge) in weights.items()])
+    )
+
+
 def _tiers(window: ConnectionWindow, delays: Sequence[float]) -> list[tuple[int, int]]:
     """Adjacent gap ranges ending at each scenario's last gap."""
     tiers, first = [], window.min_gap
@@ -182,45 +206,32 @@ def cascade_matches(
     hubs: Sequence[str] | None = None,
     dates: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Matched (departure, late inbound) combinations with the number of flight ``pairs`` behind each.
+    """One row per departure at risk: how many late inbound flights reach it, their mean and longest delay.
 
-    Equal rows of either side are merged before the join, so copies travel once.
-    The range condition becomes an equality on half-hour slots: an inbound flight
-    is listed under the slots its window touches, a departure under its own, which
-    cuts a busy (hub, day, airline) group into small ones and meets every pair once.
+    The pairs themselves grow with the square of a day's flights and are never built.
     """
-    last = F.least(_longest_gap(), F.lit(window.last_gap(delay)))
     late = (
         _inbound(flights, hubs, dates)
-        .filter((F.col("inbound_delay") >= min_arr_delay) & F.col("arr_minute").isNotNull())
-        .groupBy(*GROUP, "arrived_from", "arr_minute", "inbound_delay")
-        .agg(F.count(F.lit(1)).alias("inbound_copies"))
-        .withColumn("window_start", F.col("arr_minute") + window.min_gap)
-        .withColumn("window_end", F.col("arr_minute") + last)
-        .filter(F.col("window_end") >= F.col("window_start"))
-    )
-    slots = F.sequence(
-        F.floor(F.col("window_start") / SLOT_MINUTES), F.floor(F.col("window_end") / SLOT_MINUTES)
-    )
-    late = late.withColumn("slot", F.explode(slots))
-    departures = (
-        _outbound(flights, hubs, dates)
-        .groupBy(*GROUP, "flight_num", "outbound_dest", "minute", "outbound_delay")
-        .agg(F.count(F.lit(1)).alias("outbound_copies"))
-        .withColumn("slot", F.floor(F.col("minute") / SLOT_MINUTES))
+        .filter(F.col("inbound_delay") >= min_arr_delay)
+        .withColumn("longest_gap", F.least(_longest_gap(), F.lit(window.last_gap(delay))))
     )
-    in_window = F.col("minute").between(F.col("window_start"), F.col("window_end"))
-    return departures.join(late, [*GROUP, "slot"]).filter(in_window).select(
+    weights = {
+        "late_inbound": (F.count(F.lit(1)), F.sum),
+        "inbound_minutes": (F.sum("inbound_delay"), F.sum),
+        "max_inbound_delay": (F.max("inbound_delay"), F.max),
+    }
+    reach = _minute_reach(late, window.min_gap, weights)
+    return _outbound(flights, hubs, dates).join(reach, [*GROUP, "minute"]).select(
         "hub",
         "flightdate",
         "airline",
         "outbound_dest",
         "flight_num",
+        F.col("minute").alias("departure_minute"),
         F.col("outbound_delay").alias("depdelayminutes"),
-        "inbound_delay",
-        (F.col("minute") - F.col("arr_minute")).alias("turnaround_gap"),
-        "arrived_from",
-        (F.col("outbound_copies") * F.col("inbound_copies")).alias("pairs"),
+        "late_inbound",
+        F.round(F.col("inbound_minutes") / F.col("late_inbound"), 1).alias("avg_inbound_delay"),
+        "max_inbound_delay",
     )
 
 
@@ -381,14 +392,15 @@ def cascade_chain(
     hubs = None if hub is None else [hub]
     dates = None if date is None else [date]
     late = _inbound(flights, hubs, dates).filter(F.col("inbound_delay") >= min_delay)
-    departures = (
+    reach = _minute_reach(
+        late.withColumn("longest_gap", F.lit(gap[1])), gap[0], {"inbound": (F.count(F.lit(1)), F.sum)}
+    )
+    fed = (
         _outbound(flights, hubs, dates)
         .filter(F.col("outbound_delay") > 0)
-        .groupBy(*GROUP, "minute", "flight_num", "outbound_dest", "outbound_delay")
-        .agg(F.count(F.lit(1)).alias("departures"))
-    )
-    fed = _connection_load(
-        late.withColumn("longest_gap", F.lit(gap[1])), departures, [gap], {"inbound": F.count(F.lit(1))}
+        .join(reach, [*GROUP, "minute"])
+        .groupBy("hub", "flightdate", "flight_num", "outbound_dest", F.col("outbound_delay").alias("minutes"))
+        .agg(F.sum("inbound").alias("weight"))
     )
     arrivals = late.groupBy("hub", "flightdate", "flight_num", F.col("inbound_delay").alias("minutes")).agg(
         F.count(F.lit(1)).alias("weight")
@@ -402,8 +414,8 @@ def cascade_chain(
         "hub",
         "flightdate",
         "flight_num",
-        F.col("outbound_delay").alias("minutes"),
-        (F.col("inbound_0") * F.col("departures")).alias("weight"),
+        "minutes",
+        "weight",
         F.lit(1).alias("cascade_level"),
         F.col("outbound_dest").alias("going_to"),
     )

@@ -95,21 +95,37 @@ def test_window_edges(make_flights):
         outbound(640, airline="DL", number=77),
         outbound(640, day="2025-10-16", number=78),
     ]
-    got = {(r.flight_num, r.turnaround_gap) for r in cascade_matches(make_flights(rows), 90).collect()}
-    assert got == {(20, 20), (135, 135), (59, 59)}
+    got = {(r.flight_num, r.departure_minute, r.late_inbound) for r in cascade_matches(make_flights(rows), 90).collect()}
+    assert got == {(20, 620, 1), (135, 735, 1), (59, 959, 1)}
 
 
 @pytest.mark.parametrize("delay", [15, 60, 240])
 def test_matches(make_flights, random_rows, delay):
+    rows = [dict(row, place=place) for place, row in enumerate(random_rows)]
+    reached = defaultdict(list)
+    for o, i, _ in pairs(rows, 45 + delay):
+        reached[o["place"]].append(i["arrdelayminutes"])
     expected = Counter(
         (o["origin"], o["flightdate"], o["iata_code_reporting_airline"], o["dest"], o["flight_number_reporting_airline"],
-         o["depdelayminutes"], i["arrdelayminutes"], gap, i["origin"])
-        for o, i, gap in pairs(random_rows, 45 + delay)
+         minutes(o["crsdeptime"]), o["depdelayminutes"], len(late), max(late))
+        for place, late in reached.items() for o in [rows[place]]
     )
-    got = Counter()
-    for row in cascade_matches(make_flights(random_rows), delay).collect():
-        got[tuple(row)[:9]] += row.pairs
-    assert got == expected and got.total() > 40
+    got = cascade_matches(make_flights(random_rows), delay).collect()
+    assert Counter(tuple(r)[:8] + (r.max_inbound_delay,) for r in got) == expected and len(got) > 10
+    means = sorted(sum(late) / len(late) for late in reached.values())
+    assert sorted(r.avg_inbound_delay for r in got) == pytest.approx(means, abs=0.051)
+
+
+def test_hot_group_is_summed_by_minutes(make_flights):
+    """Most flights in one group: what the chain and the matches spread out is bounded by minutes, not by flights."""
+    rows = [complete(inbound(600 + n % 5, 200.0, number=n)) for n in range(1_000)]
+    rows += [complete(outbound(700, 40.0, number=n)) for n in range(1_000)]
+    got = cascade_matches(make_flights(rows), 90).collect()
+    assert len(got) == 1_000 and {(r.late_inbound, r.max_inbound_delay) for r in got} == {(1_000, 200.0)}
+    _, one = cascade_chain(make_flights(rows)).collect()
+    assert (one.flights_affected, one.avg_delay_propagated) == (1_000, 40.0)
+    text = cascade_chain(make_flights(rows), hub=None, date=None)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text
 
 
 def test_by_destination(make_flights, random_rows):

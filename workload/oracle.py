@@ -459,9 +459,19 @@ ORACLE["flight_category_meaning"] = statement(
 # ------------------------------------------------------------------ cascades
 
 ORACLE["cascade_matches"] = statement(
-    "select hub, flightdate, airline, outbound_dest, flight_num, depdelayminutes, inbound_delay, turnaround_gap, arrived_from, "
-    "count(*) as pairs from pairs where turnaround_gap <= 135 group by all",
-    "pairs",
+    f"""
+select o.origin as hub, o.flightdate, o.airline, o.dest as outbound_dest, o.flight_num, o.minute as departure_minute,
+  o.depdelayminutes, count(*) as late_inbound, round(avg(i.delay), 1) as avg_inbound_delay, max(i.delay) as max_inbound_delay
+from departures o join arrivals i on i.dest = o.origin and i.flightdate = o.flightdate and i.airline = o.airline
+where i.delay >= 15 and o.minute - i.minute between 20 and 135 and i.delay > o.minute - i.minute
+group by o.place, o.origin, o.flightdate, o.airline, o.dest, o.flight_num, o.minute, o.depdelayminutes
+""",
+    "flights",
+    departures="select row_number() over () as place, origin, dest, flightdate, iata_code_reporting_airline as airline, "
+    f"flight_number_reporting_airline as flight_num, {minutes('crsdeptime')} as minute, depdelayminutes "
+    "from flights where cancelled = 0 and crsdeptime is not null",
+    arrivals="select dest, flightdate, iata_code_reporting_airline as airline, arrdelayminutes as delay, "
+    f"{minutes('crsarrtime')} as minute from flights",
 )
 ORACLE["cascade_by_destination"] = statement(
     "select hub, flightdate, outbound_dest, count(*) as affected_flights, round(avg(depdelayminutes), 1) as avg_outbound_delay, "
@@ -559,7 +569,7 @@ ORACLE["cascade_chain"] = (
     + ")"
 )
 ORACLE["cascade_chain_all_hubs"] = chain("true", 30, 20, 180)
-ORACLE["union_all_levels"] = chain("dest = 'ATL'", 15, 20, 120)
+ORACLE["union_all_levels"] = chain("true", 15, 20, 120)
 ORACLE["airport_map_join"] = statement(
     """
 select airport, airport_name, latitude, longitude, airport || ' — ' || airport_name as label, cascade_vulnerability_score,
