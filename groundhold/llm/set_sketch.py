@@ -171,7 +171,7 @@ def _apart(members: DataFrame, groups: DataFrame) -> DataFrame:
         F.count("*").alias("parts"), F.max_by("of", F.struct("size", "of")).alias("main"),
         F.sum("size").alias("members"),
     )
-    split = materialize(split.filter("parts > 1").select("key", "main", "members"), "split-buckets")
+    split = split.filter("parts > 1").select("key", "main", "members")
     return materialize(own.join(split, "key"), "open-members")
 
 
@@ -234,7 +234,7 @@ def near_duplicates(
     )
     members = slim.select("id", "n", F.explode(bands).alias("key"))
     buckets = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first"), F.count("*").alias("size")).filter("size > 1")
-    buckets = materialize(buckets.select("key", F.col("first.id").alias("y"), F.col("first.n").alias("ny")), "buckets")
+    buckets = buckets.select("key", F.col("first.id").alias("y"), F.col("first.n").alias("ny"))
     members = materialize(members.join(buckets, "key"), "members")
 
     # A class id may stand for two sets only if rows share an id; a text is then any of theirs.
@@ -244,15 +244,18 @@ def near_duplicates(
     tested = materialize(tested, "stars")
     links = _tested(tested, slim, texts, width, percent)
 
-    def groups_of(links: DataFrame) -> DataFrame:
-        return materialize(connected_components(links.union(copies), "x", "y"), "groups")
+    def grown(groups: DataFrame, links: DataFrame) -> DataFrame:
+        """The groups that new links make of old ones; old members hang on their group's name, so few rounds are left."""
+        known = groups.select(F.col("node").alias("x"), F.col("component").alias("y"))
+        return materialize(connected_components(known.union(links), "x", "y"), "groups")
 
     def untested(pairs: DataFrame) -> DataFrame:
         ordered = pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
         return materialize(ordered.join(tested, ["x", "y"], "left_anti"), "open-pairs")
 
+    groups = materialize(connected_components(links.union(copies), "x", "y"), "groups")
     members = members.select("key", "id", "n", F.col("n").alias("shared"))
-    apart = _apart(members, groups_of(links))
+    apart = _apart(members, groups)
     # Who is still apart can only be linked with others in such buckets. A text with too many shingles of its own among
     # them is linked with none.
     texts = _texts_of(apart.select(F.col("id").alias("x")), texts, "open-texts")
@@ -263,7 +266,7 @@ def near_duplicates(
 
     # In large buckets all members are compared with one centre of the largest group, the one with the fewest shingles
     # of its own. Two texts share at most what both share with the centre and what both have beside it.
-    apart = _apart(members, groups_of(links))
+    apart = _apart(members, groups)
     wide = apart.filter(f"members >= {WIDE}")
     centre = F.max_by("id", F.struct(F.col("shared") / F.col("n"), "id"))
     centres = wide.filter("of = main").groupBy("main").agg(centre.alias("y"))
@@ -271,9 +274,9 @@ def near_duplicates(
     pairs = wide.join(centres, "main").filter("id <> y").select(F.col("id").alias("x"), "y").distinct()
     pairs = materialize(pairs, "centre-pairs")
     measured = materialize(verify(pairs, texts, width, percent), "centre-counts")
-    links = links.union(measured.filter("linked").select("x", "y"))
+    groups = grown(groups, measured.filter("linked").select("x", "y"))
     tested = tested.union(pairs.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")))
-    apart = _apart(members, groups_of(links)).join(centres, "main", "left")
+    apart = _apart(members, groups).join(centres, "main", "left")
     counts = measured.select(F.col("x").alias("id"), "y", "both")
     near = F.when(F.col("id") == F.col("y"), F.col("shared")).otherwise(F.col("both"))
     apart = apart.join(counts, ["id", "y"], "left").withColumn("near", near)
@@ -296,8 +299,7 @@ def near_duplicates(
     once = (F.col("oy") == F.col("main")) | (F.col("y") < F.col("x"))
     fit = _comparable(("nx", "sx"), ("ny", "sy"), percent)
     pairs = left.join(rest, "key").filter((F.col("ox") != F.col("oy")) & once & fit & bound & single)
-    links = links.union(_tested(untested(pairs.select("x", "y")), slim, texts, width, percent))
-    groups = groups_of(links)
+    groups = grown(groups, _tested(untested(pairs.select("x", "y")), slim, texts, width, percent))
 
     ids = found.select("id", "n").join(groups, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
