@@ -22,8 +22,7 @@ DICTIONARY = 200_000  # most frequent words that every task holds with their cou
 WINDOW = 16  # steps of backpropagation
 LANES = 64  # texts that are trained on side by side
 SCORE_LANES, SCORE_WINDOW, SCORE_DOCS = 512, 32, 5_000
-TRAIN_ONE_IN = 16  # training documents whose texts the recurrent weights see; counts and classes see all of them
-ROUNDS = 2
+CHUNK = 1_024  # rows worked out at once, and weights that travel in one row
 RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"  # stands for the end; no word holds white space
@@ -153,23 +152,30 @@ class Model:
             out[t] = h
         return out
 
+    def _by_class(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(order of units y by class, their classes and words in that order, where each class of frequent words begins)."""
+        heads = CLASSES * CLASS_WORDS
+        of = np.where(y < heads, y // CLASS_WORDS, y - heads + CLASSES)
+        order = np.argsort(of, kind="stable")
+        of = of[order]
+        return order, of, y[order] % CLASS_WORDS, np.searchsorted(of, np.arange(CLASSES + 1))
+
+    def _word_logits(self, rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        out = np.empty((cuts[-1], CLASS_WORDS), rows.dtype)
+        for c in range(CLASSES):
+            own = slice(cuts[c], cuts[c + 1])
+            out[own] = rows[own] @ self.to_word[c] + self.word_bias[c]
+        return out
+
     def log_probabilities(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities of units y (rare ones: of their class) after states h."""
-        heads = y < CLASSES * CLASS_WORDS
-        of = np.where(heads, y // CLASS_WORDS, y - CLASSES * CLASS_WORDS + CLASSES)
-        logits = h @ self.to_class + self.class_bias
-        top = logits.max(1)
-        out = logits[np.arange(len(y)), of] - top - np.log(np.exp(logits - top[:, None]).sum(1))
-        own = np.flatnonzero(heads)
-        own = own[np.argsort(of[own], kind="stable")]
-        cuts = np.searchsorted(of[own], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            rows = own[cuts[c] : cuts[c + 1]]
-            if len(rows):
-                logits = h[rows] @ self.to_word[c] + self.word_bias[c]
-                top = logits.max(1)
-                picked = logits[np.arange(len(rows)), y[rows] % CLASS_WORDS]
-                out[rows] += picked - top - np.log(np.exp(logits - top[:, None]).sum(1))
+        out = np.empty(len(y), h.dtype)
+        for low in range(0, len(y), CHUNK):
+            order, of, word, cuts = self._by_class(y[low : low + CHUNK])
+            rows, n = h[low + order], cuts[-1]
+            found = _picked(rows @ self.to_class + self.class_bias, of)
+            found[:n] += _picked(self._word_logits(rows, cuts), word[:n])
+            out[low + order] = found
         return out
 
     def gradient(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple:
@@ -177,24 +183,25 @@ class Model:
         kept: list = []
         states = self.states(x, fresh, h, kept)
         grad = Model(np.zeros_like(self.flat))
-        rows, target = states[live], y[live]
-        scale = np.float32(1 / max(1, len(target)))
-        heads = target < CLASSES * CLASS_WORDS
-        of = np.where(heads, target // CLASS_WORDS, target - CLASSES * CLASS_WORDS + CLASSES)
+        order, of, word, cuts = self._by_class(y[live])
+        rows, n = states[live][order], cuts[-1]
+        scale = states.dtype.type(1 / max(1, len(of)))
         wrong = _softmax(rows @ self.to_class + self.class_bias)
         wrong[np.arange(len(of)), of] -= 1
         wrong *= scale
         grad.to_class += rows.T @ wrong
         grad.class_bias += wrong.sum(0)
-        down = wrong @ self.to_class.T
-        for c in np.unique(of[heads]):
-            own = np.flatnonzero(heads & (of == c))
-            wrong = _softmax(rows[own] @ self.to_word[c] + self.word_bias[c])
-            wrong[np.arange(len(own)), target[own] % CLASS_WORDS] -= 1
-            wrong *= scale
-            grad.to_word[c] += rows[own].T @ wrong
-            grad.word_bias[c] += wrong.sum(0)
-            down[own] += wrong @ self.to_word[c].T
+        sorted_down = wrong @ self.to_class.T
+        wrong = _softmax(self._word_logits(rows, cuts))
+        wrong[np.arange(n), word[:n]] -= 1
+        wrong *= scale
+        for c in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[c], cuts[c + 1])
+            grad.to_word[c] += rows[own].T @ wrong[own]
+            grad.word_bias[c] += wrong[own].sum(0)
+            sorted_down[own] += wrong[own] @ self.to_word[c].T
+        down = np.empty_like(sorted_down)
+        down[order] = sorted_down
         flow = np.zeros_like(states)
         flow[live] = down
         following, gates = np.zeros_like(h), np.zeros((*x.shape, 3 * HIDDEN), np.float32)
@@ -209,7 +216,10 @@ class Model:
             grad.back += before.T @ into_back
             following = total * z + into_back @ self.back.T
             following[fresh[t]] = 0
-        np.add.at(grad.gates, x.ravel(), gates.reshape(-1, 3 * HIDDEN))
+        order = np.argsort(x, axis=None, kind="stable")
+        units = x.ravel()[order]
+        firsts = np.flatnonzero(np.diff(units, prepend=-1))
+        grad.gates[units[firsts]] = np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], firsts)
         return grad.flat, states[-1]
 
 
@@ -219,6 +229,12 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return out
 
 
+def _picked(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The logarithm of one softmax value per row."""
+    logits -= logits.max(1, keepdims=True)
+    return logits[np.arange(len(which)), which] - np.log(np.exp(logits).sum(1))
+
+
 def lanes(texts: list[np.ndarray], count: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, fresh, text of each place), each (steps, lanes); -1 where a lane has ended.
 
@@ -247,9 +263,10 @@ def lanes(texts: list[np.ndarray], count: int, end: int) -> tuple[np.ndarray, np
     return x, y, fresh, of
 
 
-def _train(sample: DataFrame, model: Model, shared, turn: int) -> Model:
-    """One round: every task trains a copy on its texts, and the copies are averaged by the tokens they saw."""
-    start = sample.sparkSession.sparkContext.broadcast(model.flat)
+def _train(training: DataFrame, model: Model, shared) -> Model:
+    """One pass over every text of ``training``: each task trains a copy on its own, and the copies are averaged by the
+    tokens they saw."""
+    start = training.sparkSession.sparkContext.broadcast(model.flat)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, words_ = Model(start.value.copy()), shared.value
@@ -269,24 +286,26 @@ def _train(sample: DataFrame, model: Model, shared, turn: int) -> Model:
                 step += 1
                 first += 0.1 * (grad - first)
                 second += 0.01 * (grad * grad - second)
-                rate = RATE / (1 + turn) * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+                rate = RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
                 own.flat -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
                 seen += int(live.sum())
         if seen:
-            place = np.arange(len(own.flat), dtype=np.int32)
             values = own.flat.astype(np.float64) * seen
-            columns = [pa.array(place), pa.array(values), pa.array(np.full(len(place), float(seen)))]
-            yield pa.RecordBatch.from_arrays(columns, ["place", "value", "seen"])
+            parts = [values[low : low + CHUNK] for low in range(0, len(values), CHUNK)]
+            columns = [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.float64())), pa.array([seen] * len(parts))]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "value", "seen"])
+
+    def mean(copies: pa.Table) -> pa.Table:
+        values = sum(v.values.to_numpy() for v in copies["value"]) / sum(copies["seen"].to_pylist())
+        return pa.table({"part": copies["part"][:1], "value": pa.array([values], pa.list_(pa.float64()))})
 
-    copies = sample.select("text").mapInArrow(train, "place int, value double, seen double")
-    mean = copies.groupBy("place").agg((F.sum("value") / F.sum("seen")).alias("value"))
-    got = mean.collect()  # one row per weight
+    copies = training.select("text").mapInArrow(train, "part int, value array<double>, seen long")
+    means = copies.groupBy("part").applyInArrow(mean, "part int, value array<double>")
+    got = means.orderBy("part").collect()  # the weights of one model
     start.unpersist()
     if not got:
         return model
-    flat = np.empty_like(model.flat)
-    flat[[r["place"] for r in got]] = [r["value"] for r in got]
-    return Model(flat)
+    return Model(np.concatenate([r["value"] for r in got]).astype(np.float32))
 
 
 def _score(rows: DataFrame, shared, weights) -> DataFrame:
@@ -342,7 +361,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     its class, given the state that the whole text before it has left, times its own in the class: by the state for the
     ``CLASSES * CLASS_WORDS`` most frequent words, by (c + 1) / (tokens + words + 1) for all others, whose class follows from
     their last two bytes. An unseen word thus has the place of one more word of its class. The recurrent weights are
-    trained on whole texts of one training document in ``TRAIN_ONE_IN``, by tasks whose weights are averaged.
+    trained on the whole texts of all training documents, in one pass, by tasks whose weights are averaged.
 
     The dictionary that tasks hold is bounded; counts of all other words are joined, so they are exact. A null or empty
     text is the end alone; a null id counts as the empty text and is not held out. Rows that repeat are scored each. Without
@@ -357,10 +376,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(words_)
     model = Model(prior=words_)
-    sample = materialize(training.filter(f"fold div {FOLDS} % {TRAIN_ONE_IN} = 0").select("text"), "lm-sample")
     if END in words_.index:
-        for turn in range(ROUNDS):
-            model = _train(sample, model, shared, turn)
+        model = _train(training, model, shared)
     found = materialize(_score(rows, shared, context.broadcast(model.flat)), "lm-scores")
 
     pairs = F.explode(F.arrays_zip("words", "times")).alias("p")

@@ -203,3 +203,17 @@ def test_licences_on_the_tables(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     planted = table.filter(F.col("text").rlike("(?m)^(Licensed under|Released under the MIT|This work is licensed)[^\\n]*$")).count()
     assert found.filter("licence is not null and licence <> 'reserved'").count() == planted
+
+
+def test_weights_see_every_training_document(spark):
+    """Only the order of one document's words differs: counts agree, so a score can differ by the weights alone."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 != 2 and zlib.crc32(str(i).encode()) // 7 % 16][:6]
+    held = next(i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2)
+    text = " ".join(f"w{i % 7} w{i % 5}" for i in range(60))
+    for turned in (ids[0], ids[-1]):
+        scores = []
+        for own in (text, " ".join(sorted(text.split()))):
+            rows = [(i, own if i == turned else text) for i in ids] + [(held, text)]
+            found = {r.doc_id: r for r in recurrent_lm.score_documents(docs(spark, rows).coalesce(1)).collect()}
+            scores.append((found[held].base_score, found[held].score))
+        assert scores[0][0] == scores[1][0] and abs(scores[0][1] - scores[1][1]) > 1e-6
