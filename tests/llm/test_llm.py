@@ -217,3 +217,34 @@ def test_weights_see_every_training_document(spark):
             found = {r.doc_id: r for r in recurrent_lm.score_documents(docs(spark, rows).coalesce(1)).collect()}
             scores.append((found[held].base_score, found[held].score))
         assert scores[0][0] == scores[1][0] and abs(scores[0][1] - scores[1][1]) > 1e-6
+
+
+def test_line_links_follow_the_length(spark):
+    """Lines of 16 to 2,000 characters with changed words and stray edits, against the distance of every pair."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 9))) for _ in range(300)]
+    lines = []
+    for size in (3, 5, 8, 12, 20, 30, 45, 60, 90, 110, 330):
+        own = [rng.choice(vocabulary) for _ in range(size)]
+        lines.append(" ".join(own))
+        for changes in (1, 1, size // 15, size // 8, size // 4):
+            words = list(own)
+            for _ in range(changes):
+                words[rng.randrange(size)] = rng.choice(vocabulary)
+            line = list(" ".join(words))
+            for _ in range(rng.randint(0, size // 6)):
+                at = rng.randrange(len(line))
+                line[at : at + 1] = rng.choice((["x", line[at]], [], ["y"]))
+            lines.append("".join(line))
+    lines = sorted(set(lines))
+    table = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "id long, line string, n int")
+    left, right = (table.select(*[F.col(c).alias(c + s) for c in table.columns]) for s in "xy")
+    every = left.join(right, (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("idx") < F.col("idy"))))
+    allowed = F.greatest(F.least(F.floor(F.col("nx") / 16), F.lit(2)), F.floor(F.col("nx") / 17))
+    near = every.filter((F.levenshtein("linex", "liney") <= allowed) & (F.col("nx") >= 16))
+    expected = {(r.idx, r.idy) for r in near.collect()}
+    assert {(r.x, r.y) for r in line_edit_join.edit_links(table).collect()} == expected
+    assert sum(len(lines[x]) >= 48 for x, _ in expected) > 20 and any(len(lines[x]) > 512 for x, _ in expected)
+    text = "a line of some three hundred characters in which a single word is not the same " * 4
+    found = line_edit_join.line_classes(docs(spark, [(0, text), (1, text.replace("single", "lonesome", 1))]))
+    assert {(r.doc_id, r.class_doc, r.n_links) for r in found.collect()} == {(0, 0, 1), (1, 0, 1)}
