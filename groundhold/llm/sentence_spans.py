@@ -15,7 +15,7 @@ from .hashing import PRIME, Polynomial, Words
 
 RUN = 3  # sentences in a run, at least
 MIN_WORDS = 20  # words in a run, at least
-MAX_WORDS = 12  # words of a sentence; longer ones count as several
+MAX_WORDS = 12  # words of a sentence; longer ones count as several, parted by the words' hashes
 BATCH_DOCS = 2_000
 
 RUN_SCHEMA = "h1 long, h2 int, row long, at int, rest array<struct<row: long, at: int>>"
@@ -32,7 +32,9 @@ class Sentences:
     def cut(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first word of each sentence and the end, word starts, word ends, word hashes).
 
-        A sentence ends after a word that ends in a full stop, question or exclamation mark, and at a line's end.
+        A sentence ends after a word that ends in a full stop, question or exclamation mark, and at a line's end. One of more
+        than ``max_words`` words is also cut before the last word with the smallest hash of each ``max_words`` in a row. So no
+        piece is longer, and where two texts share words, cuts agree from the first such word on, whatever stands before.
         """
         raw, starts, ends, hashes = self.words(text)
         if not len(starts):
@@ -42,8 +44,14 @@ class Sentences:
         line = lines[starts]
         first = np.concatenate(([True], stops[:-1] | (line[1:] != line[:-1])))
         heads = np.flatnonzero(first)
-        place = np.arange(len(starts)) - np.repeat(heads, np.diff(np.append(heads, len(starts))))
-        return np.append(np.flatnonzero(place % self.max_words == 0), len(starts)), starts, ends, hashes
+        sizes = np.diff(np.append(heads, len(starts)))
+        long, of = np.repeat(sizes > self.max_words, sizes), np.repeat(heads, sizes)
+        at = np.flatnonzero(long[: max(0, len(starts) - self.max_words + 1)])
+        at = at[of[at] == of[at + self.max_words - 1]]
+        if len(at):
+            backwards = np.lib.stride_tricks.sliding_window_view(hashes, self.max_words)[at, ::-1]
+            first[at + self.max_words - 1 - backwards.argmin(1)] = True
+        return np.append(np.flatnonzero(first), len(starts)), starts, ends, hashes
 
     def runs(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first sentence, sentence after the last, two hashes) of the run that begins at each sentence, if it fits."""
@@ -116,7 +124,7 @@ def cut_passages(
     """One row per row of ``docs``: id, n_sentences, n_removed, removed_words, text (what is left of it).
 
     A run is the least number of sentences, ``run`` or more, that has ``min_words`` words; a sentence of more than
-    ``max_words`` words counts as several. Of runs with equal words (A-Z and white space aside), the one in the row with
+    ``max_words`` words counts as several, parted where its words' hashes say so. Of runs with equal words (A-Z and white space aside), the one in the row with
     the smallest id, there the earliest, stays. Every sentence covered by any other goes, with the white space after it;
     copies inside one text go as well.
 

@@ -248,3 +248,37 @@ def test_line_links_follow_the_length(spark):
     text = "a line of some three hundred characters in which a single word is not the same " * 4
     found = line_edit_join.line_classes(docs(spark, [(0, text), (1, text.replace("single", "lonesome", 1))]))
     assert {(r.doc_id, r.class_doc, r.n_links) for r in found.collect()} == {(0, 0, 1), (1, 0, 1)}
+
+
+def test_passages_inside_long_sentences(spark):
+    """Passages that begin and end mid-sentence, behind heads of every length, against a search for shared stretches."""
+    rng = random.Random(4)
+    fresh = iter(f"{rng.choice('abcdefgh')}{i}" for i in range(100_000))
+    texts, passages = [], []
+    for k in range(40):
+        size = 60 + k % 30
+        passage = [next(fresh) for _ in range(size)]
+        if k % 4 == 1:
+            passage[size // 2] += "."
+        if k % 4 == 2:
+            passage = [rng.choice(("to", "be", "or")) if rng.random() < 0.5 else w for w in passage]
+        passages.append(passage)
+        for n in (k % 17, 5 + k % 13):
+            texts.append([next(fresh) for _ in range(n)] + passage + [next(fresh) for _ in range(3 + k % 11)])
+    table = docs(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    found = {r.id: r for r in sentence_spans.cut_passages(table).collect()}
+    stretches: dict[tuple, int] = {}
+    for i, words in enumerate(texts):
+        for at in range(len(words) - 19):
+            stretches.setdefault(tuple(words[at : at + 20]), i)
+    for i, words in enumerate(texts):
+        repeated = {p for at in range(len(words) - 19) if stretches[tuple(words[at : at + 20])] < i for p in range(at, at + 20)}
+        left = found[i].text.split()
+        assert found[i].removed_words == len(words) - len(left) <= len(repeated)
+        kept = Counter(left)
+        kept.subtract(words[p] for p in range(len(words)) if p not in repeated)
+        assert min(kept.values()) >= 0
+        assert (found[i].removed_words >= 20) == bool(repeated)
+    pieces = sentence_spans.Sentences(3, 20, 12)
+    for words in texts:
+        assert np.diff(pieces.cut(" ".join(words))[0]).max() <= 12
