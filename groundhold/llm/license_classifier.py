@@ -8,6 +8,7 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import SPACE, materialize, words
@@ -164,11 +165,55 @@ def _confirmed(family: Column, tokens: Column) -> Column:
     return share
 
 
+#: Words of a stretch of lines, at least, unless its block of lines ends before: twice those of the longest template.
+STRETCH = 2 * max(len(_plain(text)) for texts in TEMPLATES.values() for text in texts)
+
+
+def _stretches(lines: Column, found: Column) -> Column:
+    """Array of (first, last, text): from each line on, the lines up to ``STRETCH`` words or a blank one, joined by blanks.
+
+    A hard-wrapped notice lies in the stretch from its first line on, which has no more words behind it than a notice has.
+    ``found`` tells which lines hold an anchor; stretches without one, and those of a single line, are left out.
+    """
+    begin = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(True).alias("open"))
+
+    def add(state: Column, line: Column) -> Column:
+        more = state["open"] & line.rlike(SPACE.replace("[", "[^"))
+        total = state["words"] + F.size(words(line))
+        longer = F.struct(
+            F.concat_ws(" ", F.when(state["n"] > 0, state["text"]), line).alias("text"), (state["n"] + 1).alias("n"),
+            total.alias("words"), (total < STRETCH).alias("open"),
+        )
+        closed = F.struct(state["text"].alias("text"), state["n"].alias("n"), state["words"].alias("words"), F.lit(False).alias("open"))
+        return F.when(more, longer).otherwise(closed)
+
+    def stretch(i: Column) -> Column:
+        near = F.exists(F.slice(found, i + 1, STRETCH), lambda x: x)
+        joined = F.aggregate(F.slice(lines, i + 1, STRETCH), begin, add)
+        return F.when(near, F.transform(F.array(joined), lambda s: F.struct(i.alias("first"), (i + s["n"] - 1).alias("last"), s["text"].alias("text")))[0])
+
+    every = F.transform(F.sequence(F.lit(0), F.size(lines) - 1), stretch)
+    return F.filter(every, lambda s: s.isNotNull() & (s["last"] > s["first"]) & _has_anchor(s["text"]))
+
+
+def _apart(verdicts: DataFrame) -> DataFrame:
+    """Verdicts on lines, and of those on stretches the first of each overlapping few that hold no such line."""
+    own = W.partitionBy("row", "family").orderBy("first", F.desc("last"))
+    line = F.when(F.col("first") == F.col("last"), F.col("first"))
+    here = F.min(line).over(own.rowsBetween(0, W.unboundedFollowing))
+    marked = verdicts.select("*", line.isNotNull().alias("line"), here.alias("next_line"))
+    marked = marked.filter("line or next_line is null or next_line > last")
+    before = F.max(F.when(~F.col("line"), F.col("last"))).over(own.rowsBetween(W.unboundedPreceding, -1))
+    return marked.select("*", before.alias("before")).filter("line or before is null or before < first")
+
+
 def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_paragraphs, n_candidates, n_licences, licence, families, probability.
 
     Paragraphs are lines with a word. Candidates hold an anchor, a word without which no template can be confirmed; the
-    others can only be unknown and are not scored. A candidate is a licence if the classifier's best family reaches its
+    others can only be unknown and are not scored. Notices that are wrapped over lines are found in stretches of lines that
+    follow each other, scored besides the single lines; a stretch counts where none of its lines is a licence of the same
+    family, and once where several overlap. n_candidates counts lines. A candidate is a licence if the classifier's best family reaches its
     threshold and the paragraph has ``CONFIRMED`` of the words of one of the family's templates. licence is the family of
     the most probable one, the first of equals, or null; families lists all, sorted.
 
@@ -176,25 +221,32 @@ def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     classifier and has no licences. An empty table gives no rows; other columns are ignored.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(SPACE.replace("[", "[^")))
-    found = slim.select("id", lines.alias("lines")).select(
-        "id", F.size("lines").cast("long").alias("n_paragraphs"), F.filter("lines", _has_anchor).alias("candidates")
-    )
+    split = slim.select("id", F.split(F.coalesce("text", F.lit("")), "\n").alias("lines"))
+    split = split.select("id", "lines", F.transform("lines", _has_anchor).alias("found"))
+    some = F.when(F.array_contains("found", True), _stretches(F.col("lines"), F.col("found")))
+    single = F.transform("lines", lambda x, i: F.struct(i.alias("first"), i.alias("last"), x.alias("text")))
+    found = split.select(
+        "id", F.size(F.filter("lines", lambda x: x.rlike(SPACE.replace("[", "[^")))).cast("long").alias("n_paragraphs"),
+        F.filter(single, lambda s: F.get("found", s["first"])).alias("candidates"), some.alias("stretches"),
+    )
     found = found.select("*", F.monotonically_increasing_id().alias("row"))
     found = materialize(found, "licence-candidates")
     paragraphs = slim.select(F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line").rlike(SPACE.replace("[", "[^")))
     model, thresholds, names = train(paragraphs)
-    candidates = found.select("row", F.posexplode("candidates").alias("place", "text"))
+    both = F.concat("candidates", F.coalesce("stretches", F.array().cast("array<struct<first:int,last:int,text:string>>")))
+    candidates = found.select("row", F.explode(both).alias("c")).select("row", "c.*")
     if model is None:
-        verdicts = candidates.select("row", "place", F.lit(0.0).alias("probability"), F.lit(None).cast("string").alias("family")).limit(0)
+        verdicts = candidates.select("row", "first", "last", F.lit(0.0).alias("probability"), F.lit(None).cast("string").alias("family")).limit(0)
     else:
         scored = _predicted(model, _features(candidates), names)
         least = F.element_at(F.create_map(*[x for n in names for x in (F.lit(n), F.lit(thresholds[n]))]), F.col("family"))
         sure = (F.col("family") != UNKNOWN) & (F.col("probability") >= least)
-        verdicts = scored.filter(sure & (_confirmed(F.col("family"), F.col("tokens")) >= CONFIRMED)).select("row", "place", "probability", "family")
-    per = verdicts.groupBy("row").agg(
+        verdicts = scored.filter(sure & (_confirmed(F.col("family"), F.col("tokens")) >= CONFIRMED)).select(
+            "row", "first", "last", "probability", "family"
+        )
+    per = _apart(verdicts).groupBy("row").agg(
         F.count("*").alias("n_licences"), F.sort_array(F.collect_set("family")).alias("families"),
-        F.max_by("family", F.struct("probability", -F.col("place"))).alias("licence"), F.max("probability").alias("probability"),
+        F.max_by("family", F.struct("probability", -F.col("first"))).alias("licence"), F.max("probability").alias("probability"),
     )
     joined = found.join(per.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left")
     return joined.select(

@@ -282,3 +282,30 @@ def test_passages_inside_long_sentences(spark):
     pieces = sentence_spans.Sentences(3, 20, 12)
     for words in texts:
         assert np.diff(pieces.cut(" ".join(words))[0]).max() <= 12
+
+
+def test_wrapped_notices(spark):
+    """Hard-wrapped notices among prose of the tables, with and without blank lines around them."""
+    import textwrap
+
+    full = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        "bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice",
+        "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.",
+    }
+    prose = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").orderBy("doc_id").limit(60).select("text").collect()
+    lines = [x for r in prose for x in r.text.split("\n") if 30 < len(x) < 90][:24]
+    texts = []
+    for width in (70, 80):
+        for name, text in full.items():
+            body = "\n".join(textwrap.wrap(text, width))
+            texts += [(name, body), (name, f"{lines[0]}\n\n{body}\n\n{lines[1]}"), (name, "\n".join((*lines[2:5], body, *lines[5:8])))]
+    plain = [(100 + i, x) for i, x in enumerate(lines)]
+    table = docs(spark, [(i, t) for i, (_, t) in enumerate(texts)] + plain + [(99, license_classifier.TEMPLATES["mit"][1] + "\nand\nmore")])
+    found = {r.doc_id: (r.licence, r.n_licences) for r in license_classifier.licences(table).collect()}
+    assert {i: found[i] for i in range(len(texts))} == {i: (name, 1) for i, (name, _) in enumerate(texts)}
+    assert found[99] == ("mit", 1) and all(found[i][1] == 0 for i, _ in plain)
