@@ -141,4 +141,69 @@ from placed p left join taken t on t.doc_id = p.doc_id
 """
 
 
-ORACLE = {"op5_content_sort": CONTENT_SORT, "op6_risk_quality": _risk(), "op8_sainte_lague_mix": _mix()}
+# crc32 of the ASCII text in a column, from the table of its 256 bytes' remainders; ``crc_table`` is a table of one row.
+CRC_TABLE = """
+remainders as (
+  select i, 0 as step, cast(i as bigint) as c from range(256) r(i) union all
+  select i, step + 1, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end from remainders where step < 8
+), crc_table as (select list(c order by i) as remainder from remainders where step = 8)"""
+
+
+def _crc32(text: str) -> str:
+    digits = f"list_transform(range(1, length({text}) + 1), lambda j: cast(ord({text}[j]) as bigint))"
+    step = "xor(acc // 256, remainder[xor(acc % 256, b) + 1])"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {digits}), lambda acc, b: {step}), 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    def sized(text: str) -> str:
+        return f"coalesce(cast(octet_length(encode({text})) as varchar) || ':' || {text}, '-')"
+
+    values = ("cast(doc_id as varchar)", "source", "lang", f"cast({n_chars} as varchar)", "text")
+    return f"sha256({' || '.join(map(sized, values))})"
+
+
+# One level after the other: a run's digest, each row's siblings, and the fold of each tampered row.
+MERKLE = f"""
+with recursive {CRC_TABLE},
+leaves as (
+  select doc_id, lang, {_leaf("n_chars")} as h,
+         {_leaf("n_chars + case when hit then 1 else 0 end")} as claimed
+  from (select *, coalesce({_crc32("cast(doc_id as varchar)")} % 7 = 0, false) as hit from documents, crc_table)
+), rowed as (
+  select *, row_number() over own - 1 as i, count(*) over (partition by lang) as n from leaves
+  window own as (partition by lang order by doc_id nulls first, h)
+), below as (
+  select lang, 0 as level, i, h, n from rowed union all
+  select lang, level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from below where n > 1
+  group by lang, level, i // 2, n
+), subroots as (
+  select lang, h, level as height, row_number() over (order by lang nulls first) - 1 as i, count(*) over () as n from below where n = 1
+), above as (
+  select 0 as level, i, h, n from subroots union all
+  select level + 1, i // 2, sha256(string_agg(h, '' order by i)), (n + 1) // 2 from above where n > 1 group by level, i // 2, n
+), steps as (
+  select r.lang, r.i, b.level, b.i as sibling, b.h from rowed r join below b
+    on b.lang is not distinct from r.lang and b.n > 1 and b.i = xor(r.i >> b.level, 1)
+  union all
+  select r.lang, r.i, s.height + a.level, a.i, a.h from rowed r join subroots s on s.lang is not distinct from r.lang
+    join above a on a.n > 1 and a.i = xor(s.i >> a.level, 1)
+), proofs as (select lang, i, string_agg(h, '' order by level) as proof from steps group by lang, i),
+folds as (
+  select r.lang, r.i, 0 as level, claimed as h, s.height, s.i as top, a.levels
+  from rowed r join subroots s on s.lang is not distinct from r.lang, (select max(level) as levels from above) a
+  union all
+  select f.lang, f.i, f.level + 1,
+         sha256(case when x.sibling % 2 = 0 then coalesce(x.h, '') || f.h else f.h || coalesce(x.h, '') end),
+         height, top, levels
+  from folds f left join steps x on x.lang is not distinct from f.lang and x.i = f.i and x.level = f.level
+  where f.level < height + levels
+)
+select r.doc_id, r.h as leaf, s.h as subroot, t.h as root, sha256(coalesce(proof, '')) as proof_sha256, f.h as folded_root,
+       f.h = t.h as verified
+from rowed r join subroots s on s.lang is not distinct from r.lang join (select h from above where n = 1) t on true
+left join proofs p on p.lang is not distinct from r.lang and p.i = r.i
+join folds f on f.lang is not distinct from r.lang and f.i = r.i and f.level = f.height + f.levels
+"""
+
+ORACLE = {"op13_merkle_manifest": MERKLE, "op5_content_sort": CONTENT_SORT, "op6_risk_quality": _risk(), "op8_sainte_lague_mix": _mix()}

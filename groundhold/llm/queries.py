@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
     content_sort,
     license_classifier,
     line_edit_join,
+    merkle,
     mixing,
     packing,
     recurrent_lm,
@@ -82,6 +83,23 @@ def op10_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), **_tokenizer())
 
 
+def tampered_leaf() -> Column:
+    """The leaf of a row to whose n_chars one was added; that of the row itself where the crc32 of its id isn't divisible by 7."""
+    hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(hit, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
+    return merkle.leaf([n_chars if c == "n_chars" else F.col(c) for c in merkle.ROW_COLUMNS])
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and proofs of every row, and whether the rows as tampered with still lead to the root."""
+    found = merkle.manifest(table(spark, sf_dir, "documents"), carry={"claimed": tampered_leaf()})
+    found = found.withColumn("folded_root", merkle.folded(F.col("claimed"), F.col("path")))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     name: query for name, query in globals().items() if name.startswith("op") and callable(query)
 }
