@@ -206,4 +206,72 @@ left join proofs p on p.lang is not distinct from r.lang and p.i = r.i
 join folds f on f.lang is not distinct from r.lang and f.i = r.i and f.level = f.height + f.levels
 """
 
-ORACLE = {"op13_merkle_manifest": MERKLE, "op5_content_sort": CONTENT_SORT, "op6_risk_quality": _risk(), "op8_sainte_lague_mix": _mix()}
+# Backward costs (states: nothing yet, after system, user, assistant), then the edits letter by letter.
+REPAIR = rf"""
+with recursive {CRC_TABLE},
+named as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         {_crc32("(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '))")} % 20 as hit
+  from conversations, crc_table
+), damaged as (
+  select conv_id, turn, case when hit = 4 then 'user' else role end as role,
+         case hit when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(range(case when hit = 3 then 2 else 1 end)) from named where hit <> 0)
+), ordered as (
+  select *, row_number() over own - 1 as i, count(*) over (partition by conv_id) as n, lag(left(role, 1)) over own as before,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) as final
+  from damaged window own as (partition by conv_id order by turn nulls first, sha256(cast(octet_length(encode(role)) as varchar) || ':' || role || text))
+), faulty as (
+  select *, final = '' as blank, final <> '' and again as duplicate,
+         final <> '' and not again and final not in ('.', '!', '?') as truncated, left(role, 1) as c
+  from (select *, row_number() over (partition by conv_id, role, text order by i) > 1 as again from ordered)
+), priced as (
+  select *, blank or duplicate as must, case when truncated then 3 else 0 end as t from faulty
+), cost as (
+  select conv_id, n as i, 0 as v0, 6 as v1, 3 as v2, 0 as v3 from priced where i = 0
+  union all
+  select conv_id, i, least(w0, 3 + w2, 6 + w3), least(w1, 3 + w2, 6 + w3), least(w2, 3 + w3), least(w3, 3 + w2) from (
+    select p.conv_id, p.i,
+           least(4 + v0, case when must then null else t + least(3 + v2, case c when 's' then v1 when 'u' then v2 end) end) as w0,
+           least(4 + v1, case when must then null else t + v2 + case c when 'u' then 0 else 3 end end) as w1,
+           least(4 + v2, case when must then null else t + v3 + case c when 'a' then 0 else 3 end end) as w2,
+           least(4 + v3, case when must then null else t + v2 + case c when 'u' then 0 else 3 end end) as w3
+    from cost x join priced p on p.conv_id is not distinct from x.conv_id and p.i = x.i - 1
+  )
+), held as (select conv_id, i, [v0, v1, v2, v3] as v from cost
+), steps as (
+  select conv_id, n, 0 as i, 0 as s, '' as audit, cast(null as varchar) as made from priced where i = 0
+  union all
+  select conv_id, n, i + case when e = 'I' then 0 else 1 end, case e when 'D' then s when 'K' then kept else follows end, audit || e,
+         case when e = 'D' then made else coalesce(made || chr(10), '') ||
+           case e when 'K' then role || ':' || text else case follows when 2 then 'user:' else 'assistant:' end ||
+                case when e = 'R' then text else '' end end end
+  from (
+    select q.*, role, text, case c when 's' then 1 when 'u' then 2 when 'a' then 3 end as kept,
+           case when q.i < q.n and 4 + b.v[s + 1] = a.v[s + 1] then 'D'
+                when 3 + a.v[follows + 1] = a.v[s + 1] then 'I'
+                when not must and (c = 's' and s = 0 or c = 'u' and s <> 2 or c = 'a' and s = 2)
+                     and t + b.v[case c when 's' then 2 when 'u' then 3 else 4 end] = a.v[s + 1] then 'K' else 'R' end as e
+    from (select *, case s when 2 then 3 else 2 end as follows from steps where i < n or s in (1, 2)) q
+    join held a on a.conv_id is not distinct from q.conv_id and a.i = q.i
+    left join held b on b.conv_id is not distinct from q.conv_id and b.i = q.i + 1
+    left join (select conv_id as of, i as at, role, text, c, must, t from priced) p on p.of is not distinct from q.conv_id and p.at = q.i
+  )
+), done as (select conv_id, audit, made from steps where i = n and s in (0, 3)
+), faults as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+         count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated,
+         count(*) filter (i > 0 and before || c not in ('su', 'ua', 'au')) as illegal
+  from priced group by conv_id
+)
+select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(coalesce(v[1], 0) as bigint) as cost,
+       coalesce(audit, '') as audit, sha256(coalesce(made, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join faults f on f.conv_id is not distinct from o.conv_id left join done d on d.conv_id is not distinct from o.conv_id
+left join held h on h.conv_id is not distinct from o.conv_id and h.i = 0
+"""
+
+ORACLE = {"op11_conversation_repair": REPAIR, "op13_merkle_manifest": MERKLE, "op5_content_sort": CONTENT_SORT, "op6_risk_quality": _risk(), "op8_sainte_lague_mix": _mix()}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     content_sort,
+    conversation_repair,
     license_classifier,
     line_edit_join,
     merkle,
@@ -18,7 +19,7 @@ from . import (
     set_sketch,
     warc_derivatives,
 )
-from .common import table
+from .common import materialize, table
 
 
 def _tokenizer() -> dict[str, str]:
@@ -83,6 +84,35 @@ def op10_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), **_tokenizer())
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows as damaged by the crc32 of conversation and turn: dropped, emptied, cut, repeated or given to the user."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    hit = F.crc32(F.concat(named[0], F.lit(":"), named[1])) % 20
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), hit.alias("hit")).filter("hit <> 0").select(
+        "conv_id", "turn", F.when(F.col("hit") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("hit") == 1, "").when(F.col("hit") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("hit") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    ).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, edits and the repaired text's digest of every conversation, its rows damaged first."""
+    whole = table(spark, sf_dir, "conversations")
+    rows = damaged(whole)
+    found = materialize(conversation_repair.audits(rows), "repair-audits")
+    digests = conversation_repair.text_digests(conversation_repair.repaired(rows, found)).withColumnRenamed("conv", "of")
+    every = whole.select("conv_id").distinct()
+    joined = every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("of")), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def tampered_leaf() -> Column:
     """The leaf of a row to whose n_chars one was added; that of the row itself where the crc32 of its id isn't divisible by 7."""
     hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
