@@ -15,6 +15,7 @@ from . import (
     packing,
     recurrent_lm,
     risk_quality,
+    secret_scan,
     sentence_spans,
     set_sketch,
     warc_derivatives,
@@ -113,6 +114,23 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of every document as counts, a digest of the base kinds, and text."""
+    found = secret_scan.secret_spans(table(spark, sf_dir, "documents"), _tokenizer()["ranks"])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE_KINDS))
+    return found.select(
+        F.col("id").alias("doc_id"), *map(of, secret_scan.BASE_KINDS), F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"), of("random"),
+    )
+
+
 def tampered_leaf() -> Column:
     """The leaf of a row to whose n_chars one was added; that of the row itself where the crc32 of its id isn't divisible by 7."""
     hit = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
