@@ -1,58 +1,44 @@
-"""Airspace status snapshots: one XML document per poll.
+"""Airspace status snapshots: one XML document per poll, of any shape.
 
-A document is read as one row, so everything about a poll (its records, their
-duplicates, the absence of any delay) is settled inside that row without a
-shuffle, in batch and in streams alike.
+Files are split at the documents' closing tags by Spark's text reader, so a large file of many polls is read in parallel.
+A document is one row, and everything about a poll (its records, their duplicates, the absence of any delay) is settled
+inside that row without a shuffle, in batch and in streams alike.
 
-Status elements are found directly below the root, inside their ``*_List`` element,
-or one ``Delay_type`` level deeper; elements under other tags are not read. Tag
-names match in any case.
+Status elements are told by a pattern in their tag, in any case and at any depth; other elements are not status. A fixed
+schema cannot say that, so the elements are walked by a small function over Arrow batches.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import RAW_AIRSPACE
 from .positions import file_time
 
-
-@dataclass(frozen=True)
-class StatusKind:
-    """Element, its list element, the label, and the tag names to try per output column."""
-
-    tag: str
-    list_tag: str
-    delay_type: str
-    names: dict[str, tuple[str, ...]]
-    needs_reason: bool = False
-
-
-_COMMON = {"airport_code": ("ARPT", "Airport"), "delay_reason": ("Reason",), "end_time": ("End",)}
-
-# Element and child names of the status feed.
+# The status feed's root, the pattern in the lower-cased tag of each kind (the first that fits counts), its
+# label, and the child elements or attributes to try per column.
+ROOT_TAG = "AIRPORT_STATUS_INFORMATION"
+_COMMON = {"airport_code": ("arpt", "airport"), "delay_reason": ("reason",), "end_time": ("end",)}
 STATUS_KINDS = [
-    StatusKind(
-        "Ground_Delay",
-        "Ground_Delay_List",
+    (
+        re.compile("ground_delay|gdp"),
         "Ground Delay Program",
-        {**_COMMON, "avg_delay": ("Avg", "Average"), "max_delay": ("Max", "Maximum"), "start_time": ("Start", "Adv")},
+        {**_COMMON, "avg_delay": ("avg", "average"), "max_delay": ("max", "maximum"), "start_time": ("start", "adv")},
     ),
-    StatusKind("Ground_Stop", "Ground_Stop_List", "Ground Stop", {**_COMMON, "start_time": ("Start",)}),
-    StatusKind(
-        "Delay",
-        "Arrival_Departure_Delay_List",
+    (re.compile("ground_stop"), "Ground Stop", {**_COMMON, "start_time": ("start",)}),
+    (
+        re.compile("^(?!.*program).*delay"),
         "Arrival/Departure Delay",
-        {**_COMMON, "avg_delay": ("Avg", "Min"), "max_delay": ("Max",), "start_time": ("Start",)},
-        needs_reason=True,
+        {**_COMMON, "avg_delay": ("avg", "min"), "max_delay": ("max",), "start_time": ("start",)},
     ),
 ]
-ROOT_TAG = "AIRPORT_STATUS_INFORMATION"
-GROUP_TAG = "Delay_type"
+NEEDS_REASON = "Arrival/Departure Delay"
 
 # The row that stands for a poll without any delay.
 NO_DELAYS = {
@@ -66,81 +52,108 @@ NO_DELAYS = {
     "has_delay": False,
 }
 
-_RECORD = [f for f in RAW_AIRSPACE if f.name != "polled_at"]
+_RECORD = [f.name for f in RAW_AIRSPACE if f.name != "polled_at"]
 _KEYS = ["airport_code", "delay_type", "delay_reason"]
+RECORDS = "array<struct<" + ", ".join(f"{n}: {RAW_AIRSPACE[n].dataType.simpleString()}" for n in _RECORD) + ">>"
+_ARROW = pa.list_(pa.struct([(n, pa.bool_() if n == "has_delay" else pa.string()) for n in _RECORD]))
+
+
+def _local(tag: str) -> str:
+    """A tag or attribute name in lower case, without its namespace."""
+    return tag.rpartition("}")[2].lower()
+
+
+def _first_text(element: ET.Element, names: tuple[str, ...]) -> str:
+    """First non-blank value, name by name: among the child elements of that name, else the attribute; else empty."""
+    for name in names:
+        for child in element:
+            if isinstance(child.tag, str) and _local(child.tag) == name and (child.text or "").strip():
+                return child.text.strip()
+        for key, value in element.attrib.items():
+            if _local(key) == name and value.strip():
+                return value.strip()
+    return ""
+
+
+def status_records(document: str) -> list[dict] | None:
+    """The status records of a document in document order; None for a text that is no well-formed document."""
+    try:
+        root = ET.fromstring(document)
+    except ET.ParseError:
+        return None
+    records = []
+    for element in root.iter():
+        tag = _local(element.tag) if isinstance(element.tag, str) else ""
+        kind = next((k for k in STATUS_KINDS if k[0].search(tag)), None)
+        if kind is None:
+            continue
+        _, label, names = kind
+        record = {name: _first_text(element, names.get(name, ())) for name in _RECORD}
+        record |= {"delay_type": label, "has_delay": True}
+        if record["airport_code"] and (record["delay_reason"] or label != NEEDS_REASON):
+            records.append(record)
+    return records
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for low in range(0, len(whole), 1000):
+            batch = whole.slice(low, 1000)
+            records = pa.array([status_records(d) for d in batch["document"].to_pylist()], _ARROW)
+            yield pa.RecordBatch.from_arrays([batch["polled_at"], batch["document"], records], ["polled_at", "document", "records"])
+
+
+def split_documents(chunks: DataFrame, root_tag: str = ROOT_TAG) -> DataFrame:
+    """polled_at, document: one row per document from ``value``, text that was split behind every closing root tag.
+
+    What stands before a root tag (a declaration, the tags around several documents) is dropped; a root that closes itself
+    is a document without elements.
+    """
+    opening = rf"<{re.escape(root_tag)}(?=[\s/>])"
+    parts = F.filter(F.split("value", f"(?={opening})"), lambda part: part.rlike(f"^{opening}"))
+    each = chunks.select("polled_at", F.explode(parts).alias("part"))
+    alone = F.regexp_extract("part", r"""^<(?:[^>"'/]|"[^"]*"|'[^']*'|/(?!>))*+/>""", 0)
+    return each.select("polled_at", F.when(alone != "", alone).otherwise(F.concat("part", F.lit(f"</{root_tag}>"))).alias("document"))
 
 
-def _element_type(kind: StatusKind) -> T.ArrayType:
-    """Every name as child element and as attribute (``_`` prefix), all text."""
-    names = dict.fromkeys(name for options in kind.names.values() for name in options)
-    fields = [T.StructField(prefix + name, T.StringType()) for name in names for prefix in ("", "_")]
-    return T.ArrayType(T.StructType(fields))
-
-
-def _level() -> list[T.StructField]:
-    fields = []
-    for kind in STATUS_KINDS:
-        elements = _element_type(kind)
-        fields.append(T.StructField(kind.tag, elements))
-        fields.append(T.StructField(kind.list_tag, T.StructType([T.StructField(kind.tag, elements)])))
-    return fields
-
-
-DOCUMENT = T.StructType([*_level(), T.StructField(GROUP_TAG, T.ArrayType(T.StructType(_level())))])
-
-
-def _first_text(element: Column, names: tuple[str, ...]) -> Column:
-    """First non-blank value among child elements and attributes, else an empty string."""
-    options = [F.nullif(F.trim(element[prefix + name]), F.lit("")) for name in names for prefix in ("", "_")]
-    return F.coalesce(*options, F.lit(""))
-
-
-def _records(kind: StatusKind) -> Column:
-    """All records of one kind in a document."""
-    empty = F.array().cast(_element_type(kind))
-
-    def within(level) -> Column:
-        direct, listed = level(kind.tag), level(kind.list_tag)[kind.tag]
-        return F.concat(F.coalesce(direct, empty), F.coalesce(listed, empty))
-
-    nested = F.flatten(F.transform(F.col(GROUP_TAG), lambda group: within(lambda name: group[name])))
-    elements = F.concat(within(F.col), F.coalesce(nested, empty))
-
-    def record(element: Column) -> Column:
-        values = {name: _first_text(element, kind.names.get(name, ())) for name in RAW_AIRSPACE.names}
-        values["delay_type"] = F.lit(kind.delay_type)
-        values["has_delay"] = F.lit(True)
-        return F.struct(*[values[f.name].alias(f.name) for f in _RECORD])
-
-    def complete(row: Column) -> Column:
-        named = row["airport_code"] != ""
-        return named & (row["delay_reason"] != "") if kind.needs_reason else named
-
-    return F.filter(F.transform(elements, record), complete)
+def walked(documents: DataFrame) -> DataFrame:
+    """polled_at, document, records from ``polled_at`` and ``document``; records are NULL where a document can't be read."""
+    return documents.select("polled_at", "document").mapInArrow(_walk, f"polled_at string, document string, records {RECORDS}")
 
 
 def flatten_airspace(documents: DataFrame, unique: bool = True) -> DataFrame:
-    """Raw status rows from parsed documents that also carry ``polled_at``.
+    """Raw status rows from ``document`` texts that also carry ``polled_at``.
 
-    With ``unique`` the first record per (airport, type, reason) of a poll is kept
-    and a poll without records gives the "no active delays" row.
+    With ``unique`` the first record per (airport, type, reason) of a poll is kept and a poll without records gives the
+    "no active delays" row. A document that can't be read gives no rows, as nothing is known about its poll; see
+    ``unread_airspace``.
     """
-    rows = documents.select("polled_at", F.concat(*[_records(kind) for kind in STATUS_KINDS]).alias("records"))
+    rows = walked(documents).filter("records is not null").select("polled_at", "records")
     if unique:
         keys = F.transform("records", lambda r: F.struct(*[r[k] for k in _KEYS]))
         rows = rows.withColumn("keys", keys)
         first = F.filter("records", lambda r, i: F.array_position("keys", F.get("keys", i)) == i + 1)
-        quiet = F.struct(*[F.lit(NO_DELAYS[f.name]).alias(f.name) for f in _RECORD])
+        quiet = F.struct(*[F.lit(NO_DELAYS[name]).alias(name) for name in _RECORD])
         rows = rows.withColumn("records", F.when(F.size("records") == 0, F.array(quiet)).otherwise(first))
     return rows.select("polled_at", F.inline("records")).select(*RAW_AIRSPACE.names)
 
 
+def airspace_documents(reader, path: str, root_tag: str = ROOT_TAG) -> DataFrame:
+    """All documents below ``path`` with the time of their poll; ``reader`` is ``spark.read`` or ``spark.readStream``."""
+    chunks = reader.option("lineSep", f"</{root_tag}>").text(path)
+    return split_documents(chunks.withColumn("polled_at", file_time()), root_tag)
+
+
 def read_airspace_status(
     spark: SparkSession, path: str, unique: bool = False, root_tag: str = ROOT_TAG
 ) -> DataFrame:
     """Status rows of all landed documents; see ``flatten_airspace`` for ``unique``."""
-    documents = spark.read.format("xml").option("rowTag", root_tag).schema(DOCUMENT).load(path)
-    return flatten_airspace(documents.withColumn("polled_at", file_time()), unique)
+    return flatten_airspace(airspace_documents(spark.read, path, root_tag), unique)
+
+
+def unread_airspace(spark: SparkSession, path: str, root_tag: str = ROOT_TAG) -> DataFrame:
+    """polled_at, document: the landed documents that are not well-formed and give no status rows."""
+    return walked(airspace_documents(spark.read, path, root_tag)).filter("records is null").drop("records")
 
 
 def dedup_airspace_status(status: DataFrame, polls: DataFrame | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..plans.serving import latest_weather
 from ..schemas import POSITION_PAYLOAD, WEATHER_PAYLOAD
-from ..sources.airspace import DOCUMENT, ROOT_TAG, flatten_airspace
+from ..sources.airspace import ROOT_TAG, airspace_documents, flatten_airspace
 from ..sources.positions import file_time, flatten_positions
 from ..sources.weather import flatten_weather
 
@@ -52,10 +52,10 @@ def airspace_source(
     spark: SparkSession, landing: str, root_tag: str = ROOT_TAG, max_files: int | None = None
 ) -> DataFrame:
     """Raw airspace status as files land, unique per poll, with a row for quiet polls."""
-    reader = spark.readStream.format("xml").option("rowTag", root_tag).schema(DOCUMENT)
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return flatten_airspace(reader.load(landing).withColumn("polled_at", file_time()))
+    return flatten_airspace(airspace_documents(reader, landing, root_tag))
 
 
 def _trigger(writer: DataStreamWriter, once: bool, interval: int) -> DataStreamWriter:

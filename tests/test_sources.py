@@ -126,6 +126,61 @@ def test_airspace(spark, tmp_path):
     ]
 
 
+SHAPES = """<?xml version="1.0"?><feed xmlns:n="urn:n"><AIRPORT_STATUS_INFORMATION when="now"><!-- <GDP><ARPT>NO</ARPT></GDP> -->
+<GDP><ARPT></ARPT><airport> DFW </airport><reason>fog &amp; rain</reason><Avg> </Avg><Average>10</Average></GDP>
+<a><b><c><d><ground_delay_program arpt="IAH"><REASON><![CDATA[a < b]]></REASON></ground_delay_program></d></c></b></a>
+<Departure_Delay><ARPT>BOS</ARPT><Reason>wind</Reason><Arrival_Delay><ARPT>JFK</ARPT><Reason>ice</Reason><Min>5</Min></Arrival_Delay></Departure_Delay>
+<Delay_Program><ARPT>XXX</ARPT><Reason>a program is no delay</Reason></Delay_Program>
+<Ground_Stop_Ground_Delay><ARPT>SEA</ARPT><Max>1</Max></Ground_Stop_Ground_Delay>
+<Airport_Closure><ARPT>ZZZ</ARPT><Reason>closed</Reason></Airport_Closure>
+</AIRPORT_STATUS_INFORMATION><AIRPORT_STATUS_INFORMATION/>\n<AIRPORT_STATUS_INFORMATION x="/>"/>
+<AIRPORT_STATUS_INFORMATION><Airport_Closure><ARPT>ZZZ</ARPT></Airport_Closure></AIRPORT_STATUS_INFORMATION>
+<AIRPORT_STATUS_INFORMATION><Delay><ARPT>ORD</ARPT><Reason>broken</Delay></AIRPORT_STATUS_INFORMATION></feed>"""
+
+
+def test_airspace_of_any_shape(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(SHAPES)
+    rows = [tuple(r)[:7] for r in src.read_airspace_status(spark, str(tmp_path)).collect()]
+    assert rows == [
+        ("DFW", "Ground Delay Program", "fog & rain", "10", "", "", ""),
+        ("IAH", "Ground Delay Program", "a < b", "", "", "", ""),
+        ("BOS", "Arrival/Departure Delay", "wind", "", "", "", ""),
+        ("JFK", "Arrival/Departure Delay", "ice", "5", "", "", ""),
+        ("SEA", "Ground Delay Program", "", "", "1", "", ""),
+    ]
+    unique = src.read_airspace_status(spark, str(tmp_path), unique=True)
+    assert unique.filter("airport_code = 'NAS'").count() == 3  # the quiet polls, not the broken one
+    unread = src.unread_airspace(spark, str(tmp_path)).collect()
+    assert len(unread) == 1 and "broken" in unread[0].document and unread[0].polled_at.endswith("+00:00")
+
+
+def test_status_kinds():
+    from groundhold.sources.airspace import status_records
+
+    def kinds(tag):
+        return [r["delay_type"] for r in status_records(f"<r><{tag}><ARPT>A</ARPT><Reason>b</Reason></{tag}></r>")]
+
+    program, stop, delay = ["Ground Delay Program"], ["Ground Stop"], ["Arrival/Departure Delay"]
+    expected = {"GDP": program, "myGdpX": program, "Ground_Delay_List": program, "GROUND_STOP": stop, "Ground_Stop_List": stop,
+                "Delay": delay, "Delay_type": delay, "Departure_Delay": delay, "Program_Delay": [], "Delay_Program": [], "Closure": []}
+    assert {tag: kinds(tag) for tag in expected} == expected
+    assert status_records("<r><Delay><ARPT>A</ARPT></Delay><GDP><Reason>b</Reason></GDP></r>") == []
+    assert status_records("<r>") is None
+
+
+def test_a_large_file_of_polls_is_split(spark, tmp_path):
+    document = "<AIRPORT_STATUS_INFORMATION><GDP><ARPT>A{}</ARPT></GDP></AIRPORT_STATUS_INFORMATION>"
+    (tmp_path / "a.xml").write_text("<polls>" + "\n".join(document.format(i) for i in range(5000)) + "</polls>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = src.read_airspace_status(spark, str(tmp_path))
+        assert df.rdd.getNumPartitions() > 4
+        assert sorted(r.airport_code for r in df.collect()) == sorted(f"A{i}" for i in range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_dedup_rows(spark):
     rows = [("ORD", "Ground Stop", "WX", a, "", "", "", True, "t1") for a in ("2", "1")] + [
         ("ORD", "Ground Stop", "WX", "3", "", "", "", True, "t2"), ("ORD", "Ground Stop", "EQ", "4", "", "", "", True, "t1"),

@@ -74,33 +74,45 @@ def position_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(number.alias("time"), F.array(state).alias("states"))
 
 
-def airspace_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per event: no, one or two records, with alternative tags and a duplicate."""
+# Tags of the status kinds as different publishers write them, and the tags around them.
+PROGRAM_TAGS = ["Ground_Delay", "GDP", "Ground_Delay_Program", "ground_delay"]
+DELAY_TAGS = ["Delay", "Departure_Delay", "arrival_delay", "Arrival_Departure_Delay"]
+AROUND = ["body", "Delay_type", "Ground_Delay_List"]
+
+
+def airspace_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per event: no, one or two records at depths 1 to 4, with other tags, cases, attributes and a duplicate."""
     rows = events(spark, sf_dir)
 
-    def element(condition: str, code: Column, *children: Column) -> Column:
-        """One child of the document, NULL where the condition fails."""
-        return F.when(F.expr(condition), F.struct(code, _pick(REASONS, "v % 3").alias("Reason"), *children))
-
-    airport = _pick(AIRPORTS, "u % 10")
-    program = F.array_compact(
-        F.array(
-            *[
-                element(
-                    condition, airport.alias("ARPT"), F.lit("1 hour").alias("Average"),
-                    F.expr("concat(v % 90, ' minutes')").alias("Maximum"), F.lit("0100").alias("Adv"),
-                )
-                for condition in ("e % 4 = 0", "e % 8 = 0")
-            ]
-        )
-    )
-    stop = F.array_compact(F.array(element("e % 4 in (0, 1)", airport.alias("Airport"), F.lit("5 pm").alias("End"))))
-    delay = element("e % 4 = 2", airport.alias("ARPT"), F.expr("cast(v % 60 as string)").alias("Min"))
-    return rows.select(
-        F.struct(program.alias("Ground_Delay")).alias("Ground_Delay_List"),
-        F.struct(stop.alias("Ground_Stop")).alias("Ground_Stop_List"),
-        F.struct(F.array_compact(F.array(delay)).alias("Delay")).alias("Arrival_Departure_Delay_List"),
-    )
+    def tags(form: str, around: list[tuple[int, str]]) -> list[Column]:
+        return [F.expr(f"if(e div 4 % 4 > {level}, '{form.format(tag)}', '')") for level, tag in around]
+
+    around = list(enumerate(AROUND))
+    before, behind = tags("<{}>", around), tags("</{}>", around[::-1])
+
+    def element(condition: str, tag: Column, *children: Column) -> Column:
+        """An element with its airport as child or attribute; an empty text where the condition fails."""
+        code = _pick(AIRPORTS, "u % 10")
+        child = F.when(F.expr("e % 3 = 0"), F.concat(F.lit("><ARPT> "), code, F.lit("</ARPT>")))
+        child = child.when(F.expr("e % 3 = 1"), F.concat(F.lit(' Airport="'), code, F.lit('">')))
+        child = child.otherwise(F.concat(F.lit("><arpt>"), code, F.lit("</arpt>")))
+        reason = F.concat(F.lit("<Reason>"), _pick(REASONS, "v % 3"), F.lit("</Reason>"))
+        whole = F.concat(*before, F.lit("<"), tag, child, reason, *children, F.lit("</"), tag, F.lit(">"), *behind)
+        return F.when(F.expr(condition), whole).otherwise("")
+
+    program, delay = _pick(PROGRAM_TAGS, "e div 8 % 4"), _pick(DELAY_TAGS, "e div 8 % 4")
+    times = [F.expr("concat('<Average>1 hour</Average><maximum>', v % 90, ' minutes</maximum><Adv>0100</Adv>')")]
+    parts = [
+        F.lit("<Update_Time>now</Update_Time>"),
+        element("e % 4 = 0", program, *times),
+        element("e % 8 = 0", program, *times),
+        element("e % 4 in (0, 1)", F.lit("Ground_Stop"), F.lit("<End><![CDATA[5 pm]]></End><Program_Delay/>")),
+        element("e % 4 = 2", delay, F.expr("concat('<Avg> </Avg><Min>', v % 60, '</Min>')")),
+        F.lit("<Airport_Closure_List><Airport><ARPT>ZZZ</ARPT><Reason>closed</Reason></Airport></Airport_Closure_List>"),
+    ]
+    tag = "AIRPORT_STATUS_INFORMATION"
+    full = F.concat(F.lit(f"<{tag}>"), *parts, F.lit(f"</{tag}>"))
+    return rows.select(F.when(F.expr("e % 4 = 3 and e % 8 = 3"), f"<{tag}/>").otherwise(full).alias("value"))
 
 
 def land_json(spark: SparkSession, payload: DataFrame, name: str) -> str:
@@ -111,8 +123,7 @@ def land_json(spark: SparkSession, payload: DataFrame, name: str) -> str:
 
 
 def land_airspace(spark: SparkSession, sf_dir: str) -> str:
+    """Files of many documents each."""
     path = scratch_path(spark, "airspace-xml")
-    airspace_elements(spark, sf_dir).write.format("xml").option("rootTag", "polls").option(
-        "rowTag", "AIRPORT_STATUS_INFORMATION"
-    ).save(path)
+    airspace_texts(spark, sf_dir).write.text(path)
     return path
