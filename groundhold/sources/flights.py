@@ -1,39 +1,106 @@
-"""Batch load of on-time performance files."""
+"""Batch load of on-time performance files, each with its own header."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW_FLIGHTS
+from ..session import scratch_path
+
+ENCODING = "ISO-8859-1"
+MARK = "\ufeff|ï»¿"  # a byte order mark, as UTF-8 and as read in the files' encoding
+# The table of headers has a row per file; it is broadcast only when it was counted and has at most this many.
+BROADCAST_FILES = 50_000
+
+
+def csv_headers(spark: SparkSession, csv_dir: str) -> DataFrame:
+    """file, names (trimmed, lower case), places (of the kept columns, -1 for those the file lacks): a row per file with a line.
+
+    Found by a scan of the lines that parses nothing and combines to one row per file before the shuffle. Materialized.
+    """
+    lines = spark.read.text(csv_dir).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    lines = lines.withColumn("at", F.monotonically_increasing_id()).filter("start = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    names = F.split(F.regexp_replace("line", f"^(?:{MARK})", ""), ",")
+    names = F.transform(names, lambda name: F.lower(F.trim(F.btrim(F.trim(name), F.lit('"')))))
+    places = [(F.array_position("names", name) - 1).cast("int") for name in RAW_FLIGHTS.names]
+    path = scratch_path(spark, "csv-headers")
+    first.select("file", names.alias("names")).withColumn("places", F.array(*places)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _read_text(spark: SparkSession, csv_dir: str) -> DataFrame:
+    """file and the 37 columns as text, every value matched by its own file's header."""
+    headers = csv_headers(spark, csv_dir)
+    date_place = F.get("places", F.lit(RAW_FLIGHTS.names.index("flightdate")))
+    undated = headers.filter(date_place < 0).select("file").limit(3).collect()
+    if undated:
+        raise ValueError(f"no flightdate column in {', '.join(r.file for r in undated)}")
+    used = F.sort_array(F.array_distinct(F.flatten(F.collect_set("places"))))
+    files, widest, places = headers.agg(F.count(F.lit(1)), F.max(F.size("names")), used).first()
+    if not files:
+        raise ValueError(f"no rows in {csv_dir}")
+    # All places that some file keeps are read by one scan; a row picks its own by the places of its file.
+    used = [place for place in places if place >= 0]
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(widest)])
+    rows = spark.read.schema(schema).option("encoding", ENCODING).option("mode", "PERMISSIVE").csv(csv_dir)
+    rows = rows.select(F.col("_metadata.file_path").alias("of"), *[f"c{i}" for i in used])
+    slot = F.transform("places", lambda place: F.array_position(F.array(*map(F.lit, used)), place).cast("int") - 1)
+    known = headers.select(F.col("file"), slot.alias("slots"))
+    joined = rows.join(F.broadcast(known) if files <= BROADCAST_FILES else known, F.col("of") == F.col("file"))
+    values = joined.withColumn("read", F.array(*[F.col(f"c{i}") for i in used])).select("file", "slots", "read")
+
+    def value(at: int) -> Column:
+        slot = F.get("slots", F.lit(at))
+        return F.when(slot >= 0, F.get("read", slot))
+
+    found = values.select("file", *[value(i).alias(name) for i, name in enumerate(RAW_FLIGHTS.names)])
+    return found.filter(F.lower(F.trim(F.coalesce("flightdate", F.lit("")))) != "flightdate")
+
+
+def _typed(field: T.StructField) -> Column:
+    value = F.col(field.name)
+    if field.dataType == T.StringType():
+        return value
+    value = F.trim(value)
+    if field.dataType == T.IntegerType():
+        value = value.try_cast("double")  # whole numbers may be written as 1.0
+    return value.try_cast(field.dataType)
 
 
 def read_flights_csv(spark: SparkSession, csv_dir: str) -> DataFrame:
     """All CSV files of a directory as raw flights.
 
-    Headers are trimmed and lower-cased, columns outside the 37 kept ones are
-    dropped and text is latin-1. Files of different layouts must go to separate
-    directories: columns are matched by the name in the header, so every file of
-    one directory has to share it. Values are cast to the declared types; a value
-    that does not fit becomes NULL.
+    Headers are trimmed and lower-cased, columns outside the 37 kept ones are dropped and text is latin-1. Every file has
+    its own header: order, case, padding and further columns may differ from file to file, and a column that a file lacks
+    is NULL for its rows. Values are cast to the declared types; a value that does not fit becomes NULL, and
+    ``unfit_values`` counts such values.
 
-    Raises ``ValueError`` for a directory without rows or without a flight date.
+    Raises ``ValueError`` for a directory without rows or a file without a flight date.
     """
-    options = {"header": "true", "encoding": "ISO-8859-1", "enforceSchema": "false"}
-    text = spark.read.options(**options, inferSchema="false").csv(csv_dir)
-    by_name = {name.strip().lower(): name for name in text.columns}
-    if "flightdate" not in by_name:
-        raise ValueError(f"no flightdate column in {csv_dir}")
+    text = _read_text(spark, csv_dir)
     if text.isEmpty():
         raise ValueError(f"no rows in {csv_dir}")
+    return text.select(*[_typed(field).alias(field.name) for field in RAW_FLIGHTS])
+
+
+def unfit_values(spark: SparkSession, csv_dir: str) -> DataFrame:
+    """file, column_name, unfit (values that are there but don't fit the column's type), example (the smallest one).
+
+    Only columns with such values have a row. One scan; a file's rows are combined before the shuffle.
+    """
+    text = _read_text(spark, csv_dir)
+    checked = [field for field in RAW_FLIGHTS if field.dataType != T.StringType()]
 
-    def typed(field):
-        if field.name not in by_name:
-            return F.lit(None).cast(field.dataType)
-        value = F.col(f"`{by_name[field.name]}`")
-        if field.dataType == T.IntegerType():
-            value = value.try_cast("double")  # whole numbers may be written as 1.0
-        return value.try_cast(field.dataType)
+    def wrong(field: T.StructField) -> Column:
+        there = F.trim(F.col(field.name)) != ""
+        return F.when(there & _typed(field).isNull(), F.trim(F.col(field.name)))
 
-    return text.select(*[typed(field).alias(field.name) for field in RAW_FLIGHTS])
+    found = text.select("file", *[wrong(field).alias(field.name) for field in checked])
+    counts = [F.struct(F.count(f.name).alias("unfit"), F.min(f.name).alias("example")).alias(f.name) for f in checked]
+    each = [F.struct(F.lit(f.name).alias("column_name"), F.col(f"{f.name}.unfit"), F.col(f"{f.name}.example")) for f in checked]
+    return found.groupBy("file").agg(*counts).select("file", F.inline(F.array(*each))).filter("unfit > 0")

@@ -32,6 +32,42 @@ def test_flights_csv_guards(spark, tmp_path):
             src.read_flights_csv(spark, str(tmp_path / name))
 
 
+def test_csv_files_with_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'FlightDate,Origin,Distance,Year\n2025-10-01,ORD,100,2025\n2025-10-02,"A, B",far,x\n')
+    (tmp_path / "b.csv").write_bytes(b'\xef\xbb\xbf"YEAR"," Tail ","Dest","FLIGHTDATE "\n"2024.0","N1","S\xe3o","2025-10-03"\n')
+    (tmp_path / "c.csv").write_bytes(b" flightdate \n2025-10-04\n\n")
+    (tmp_path / "d.csv").write_bytes(b"")
+    (tmp_path / "e.csv").write_bytes(b"Origin,Origin,FlightDate\nLAX\nSFO,OAK,2025-10-05,more,and more\n")
+    rows = src.read_flights_csv(spark, str(tmp_path)).select("flightdate", "origin", "dest", "distance", "year").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [("2025-10-01", "ORD", None, 100.0, 2025), ("2025-10-02", "A, B", None, None, None), ("2025-10-03", None, "São", None, 2024),
+         ("2025-10-04", None, None, None, None), (None, "LAX", None, None, None), ("2025-10-05", "SFO", None, None, None)], key=str
+    )
+    unfit = src.unfit_values(spark, str(tmp_path)).collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.column_name, r.unfit, r.example) for r in unfit) == [
+        ("a.csv", "distance", 1, "far"), ("a.csv", "year", 1, "x")
+    ]
+    (tmp_path / "f.csv").write_text("Origin\nORD\n")
+    with pytest.raises(ValueError, match="f.csv"):
+        src.read_flights_csv(spark, str(tmp_path))
+
+
+def test_csv_files_split_into_blocks(spark, tmp_path):
+    """Blocks behind the first have no header of their own; rows that come before others in a header still match."""
+    for k, header in enumerate(("FlightDate,Distance", "Distance,FlightDate")):
+        lines = [f"2025-10-{k + 1:02},{i}" if k == 0 else f"{i},2025-10-{k + 1:02}" for i in range(4000)]
+        (tmp_path / f"{k}.csv").write_text("\n".join([header, *lines]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        rows = src.read_flights_csv(spark, str(tmp_path)).groupBy("flightdate").agg({"distance": "sum", "*": "count"}).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.flightdate, r["sum(distance)"], r["count(1)"]) for r in rows) == [
+        (f"2025-10-0{k}", 3999 * 2000.0, 4000) for k in (1, 2)
+    ]
+
+
 def test_append_raw(spark, make_flights, tmp_path):
     path = str(tmp_path / "raw")
     src.append_raw(make_flights([{}, {"flightdate": "2025-10-16"}]), path, "flightdate")

@@ -260,6 +260,15 @@ def statement(body: str, *reads: str, **extra: str) -> str:
 ORACLE: dict[str, str] = {}
 
 ORACLE["read_flights_csv"] = statement("select * from flights", "flights")
+ORACLE["unfit_csv_values"] = statement(
+    """
+select 'distance' as column_name, cast(count(*) as bigint) as unfit, 'far' as example from flights
+where flight_number_reporting_airline % 7 = 0
+union all select 'crsdeptime', count(*), 'n/a' from flights where month = 9 and crsdeptime is null
+union all select 'year', count(*), '20x5' from flights where month <> 9
+""",
+    "flights",
+)
 ORACLE["append_raw"] = statement(
     "select flightdate, count(*) as flights, sum(distance) as miles, sum(arrdelay) as arr_delay from flights group by flightdate",
     "flights",

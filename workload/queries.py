@@ -85,15 +85,38 @@ def _without_poll(df: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ sources and sinks
 
 
+def _land_csv(rows: DataFrame, path: str, **options: str) -> None:
+    rows.write.mode("append").options(header="true", encoding="ISO-8859-1", **options).csv(path)
+
+
+def _land_layouts(rows: DataFrame, path: str) -> None:
+    """The flights of each month under another header: padded and upper case, turned round and quoted, with columns between."""
+    padded = rows.filter("month = 9").withColumn("tail_number", F.lit("N1"))
+    _land_csv(padded.select(*[F.col(c).alias(f" {c.upper()} " if i % 2 else c) for i, c in enumerate(padded.columns)]), path)
+    _land_csv(rows.filter("month = 10").select(*rows.columns[::-1]), path, quoteAll="true", ignoreLeadingWhiteSpace="false")
+    spread = [c for name in rows.columns for c in (F.lit("x, y").alias(f"div_{name}"), F.col(name).alias(name.title()))]
+    _land_csv(rows.filter("month not in (9, 10)").select(*spread), path)
+
+
 @query
 def read_flights_csv(spark, sf):
     path = scratch_path(spark, "flights-csv")
-    padded = flights(spark, sf).withColumn("tail_number", F.lit("N1"))
-    padded = padded.select(*[F.col(c).alias(f" {c.upper()} " if i % 2 else c) for i, c in enumerate(padded.columns)])
-    padded.write.option("header", "true").option("encoding", "ISO-8859-1").csv(path)
+    _land_layouts(flights(spark, sf), path)
     return src.read_flights_csv(spark, path)
 
 
+@query
+def unfit_csv_values(spark, sf):
+    """Unfit values per column; two layouts of which one lacks a column."""
+    path = scratch_path(spark, "flights-unfit")
+    odd = flights(spark, sf).withColumn("distance", F.expr("if(flight_number_reporting_airline % 7 = 0, 'far', cast(distance as string))"))
+    odd = odd.withColumn("crsdeptime", F.expr("case when crsdeptime is null then 'n/a' else cast(crsdeptime as string) end"))
+    _land_csv(odd.filter("month = 9"), path)
+    _land_csv(odd.filter("month <> 9").withColumn("year", F.lit("20x5")).drop("crsdeptime"), path)
+    found = src.unfit_values(spark, path)
+    return found.groupBy("column_name").agg(F.sum("unfit").alias("unfit"), F.min("example").alias("example"))
+
+
 @query
 def append_raw(spark, sf):
     path = scratch_path(spark, "raw-flights")
