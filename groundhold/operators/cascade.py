@@ -5,19 +5,22 @@ when it is scheduled within a window of minutes after the inbound's scheduled
 arrival, and (for cascades) when the inbound delay exceeds that gap. Minutes are
 minutes of the day; windows do not wrap around midnight.
 
-Counts and means never build the pairs. Inbound flights are reduced to bins of
-(minute, delay); each bin covers one stretch of departure minutes, which is noted
-as +n where the stretch starts and -n after it ends. A running sum over the
-minutes of one (hub, day, airline) then tells for every departure minute how many
-inbound flights reach it. The rows of one running sum are bounded by the minutes of
-a day times the hub's destinations, whatever the number of flights, so a hub that
-holds a third of the data is no slower to sum than any other. Where the flights
-themselves are wanted (matches, chain), the inbound bins are spread over the minutes
-they reach, summed per minute and joined to the departures by equality, which
-adaptive execution can split where a group is hot.
+Counts and means never build the pairs. An inbound flight covers one stretch of
+departure minutes, which is noted as +n where the stretch starts and -n after it
+ends. A running sum over the minutes of one (hub, day, airline) then tells for every
+departure minute how many inbound flights reach it. The longest delay that reaches a
+minute is found by doubling: a stretch is covered by two of the largest power of two
+that fits, and a minute takes the largest of one sliding maximum per power. The rows
+of one (hub, day, airline) are bounded by the minutes of a day (times the hub's
+destinations, where departures go by destination), whatever the number of flights, so
+a hub that holds a third of the data is no slower to sum than any other. Where the
+flights themselves are wanted (matches, chain), they are joined to the minutes by
+equality, which adaptive execution can split where a group is hot.
 
 Several trigger delays share one pass: the gap window is cut into tiers at the
 upper ends of the scenarios, and a scenario adds up the tiers below its own end.
+Tiers lie side by side in columns, a fixed number of them to a row, so that neither
+expressions nor columns grow with the scenarios.
 """
 
 from __future__ import annotations
@@ -138,26 +141,79 @@ def _connection_load(
     return reached.filter(F.col("is_departure") & (any_load > 0)).drop("is_departure")
 
 
-def _minute_reach(
-    inbound: DataFrame, first_gap: int, weights: dict[str, tuple[Column, Callable[[str], Column]]]
+def _late_ends(min_arr_delay: float) -> tuple[Column, Column]:
+    """The minute at which a flight arrives late, NULL for other flights, and the longest gap that its delay exceeds."""
+    delay = F.col("arrdelayminutes")
+    arrival = F.when(delay >= min_arr_delay, hhmm_to_minutes("crsarrtime").cast("int"))
+    return arrival, (F.ceil(delay) - 1).cast("int")
+
+
+def _departure_minute() -> Column:
+    """The minute of a departure that was flown, else NULL."""
+    return F.when(F.col("cancelled") == 0, hhmm_to_minutes("crsdeptime").cast("int"))
+
+
+def _either_end(flights: DataFrame, hubs, dates) -> DataFrame:
+    """Flights that arrive at or depart from a hub on one of the dates."""
+    if hubs is not None:
+        flights = flights.filter(F.col("dest").isin(list(hubs)) | F.col("origin").isin(list(hubs)))
+    return flights if dates is None else flights.filter(F.col("flightdate").isin(list(dates)))
+
+
+def _ends(flights: DataFrame, min_arr_delay: float, hubs, dates, *more: Column) -> DataFrame:
+    """One row per flight that arrives late or leaves: arrival and departure are NULL where it doesn't."""
+    arrival, reach = _late_ends(min_arr_delay)
+    return _either_end(flights, hubs, dates).select(
+        "origin", "dest", "flightdate", F.col("iata_code_reporting_airline").alias("airline"),
+        F.col("arrdelayminutes").alias("delay"), arrival.alias("arrival"), reach.alias("longest_gap"),
+        _departure_minute().alias("departure"), *more,
+    )
+
+
+def _at_hubs(notes: DataFrame, hubs) -> DataFrame:
+    notes = notes.filter("hub is not null")
+    return notes if hubs is None else notes.filter(F.col("hub").isin(list(hubs)))
+
+
+def _reach(
+    flights: DataFrame, min_arr_delay: float, first_gap: int, last_gap: int, by_delay: bool, longest: bool, hubs=None, dates=None
 ) -> DataFrame:
-    """Per departure minute of a (hub, day, airline), the weights of the inbound flights that reach it.
+    """Per departure minute of a (hub, day, airline): late_inbound flights that reach it, and the sum of their delays.
 
-    ``inbound`` holds flights with ``arr_minute`` and ``longest_gap``; a weight is an
-    aggregate of flights and the function that merges such aggregates. Flights are
-    merged by minute and gap before they are spread over the minutes they reach.
+    With ``by_delay`` a flight reaches no further than its delay exceeds the gap. ``longest`` adds max_inbound_delay. One
+    scan: a flight notes its stretch as an arrival and its minute as a departure, and notes are summed by minute before the
+    window sees them.
     """
-    bins = (
-        inbound.filter(F.col("arr_minute").isNotNull() & (F.col("longest_gap") >= first_gap))
-        .groupBy(*GROUP, F.col("arr_minute").cast("int").alias("arr_minute"), "longest_gap")
-        .agg(*[column.alias(name) for name, (column, _) in weights.items()])
-    )
-    minutes = F.sequence(F.col("arr_minute") + first_gap, F.col("arr_minute") + F.col("longest_gap"))
-    return (
-        bins.withColumn("minute", F.explode(minutes))
-        .groupBy(*GROUP, "minute")
-        .agg(*[merge(name).alias(name) for name, (_, merge) in weights.items()])
-    )
+    until = f"arrival + least(longest_gap, {last_gap})" if by_delay else f"arrival + {last_gap}"
+    powers = range(max(last_gap - first_gap + 1, 1).bit_length() if longest else 0)
+    power = " + ".join(["0", *[f"cast(until - start + 1 >= {1 << k} as int)" for k in powers[1:]]])
+    late, nothing = "start <= until", "cast(null as int)"
+
+    def note(condition: str, hub: str, minute: str, n: int, mark: str = nothing) -> str:
+        fields = f"'hub', {hub}, 'minute', {minute}, 'n', {n}, 'power', {mark}, 'leaves', {str(hub == 'origin').lower()}"
+        return f"if({condition}, named_struct({fields}), null)"
+
+    notes = [
+        note(late, "dest", "start", 1, "power"), note(late, "dest", "until + 1", -1),
+        note("departure is not null", "origin", "departure", 0),
+    ]
+    if longest:
+        notes.append(note(late, "dest", "until + 1 - shiftleft(1, power)", 0, "power"))
+    stretches = _ends(flights, min_arr_delay, hubs, dates).filter("arrival is not null or departure is not null")
+    stretches = stretches.selectExpr("*", f"arrival + {first_gap} as start", f"{until} as until").selectExpr("*", f"{power} as power")
+    noted = stretches.selectExpr("flightdate", "airline", "delay", f"inline(array({', '.join(notes)}))").filter("minute is not null")
+    minutes = _at_hubs(noted, hubs).groupBy(*GROUP, "minute").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("delay")).alias("delays"), F.max("leaves").alias("leaves"),
+        *[F.max(F.when(F.col("power") == k, F.col("delay"))).alias(f"longest_{k}") for k in powers],
+    )
+    day = W.partitionBy(*GROUP).orderBy("minute")
+    so_far = day.rangeBetween(W.unboundedPreceding, W.currentRow)
+    found = {"late_inbound": F.sum("n").over(so_far), "inbound_minutes": F.sum("delays").over(so_far)}
+    if longest:
+        largest = [F.max(f"longest_{k}").over(day.rangeBetween(1 - (1 << k), W.currentRow)) for k in powers]
+        found["max_inbound_delay"] = F.greatest(*largest) if len(largest) > 1 else largest[0]
+    reached = minutes.select(*GROUP, "minute", "leaves", *[column.alias(name) for name, column in found.items()])
+    return reached.filter(F.col("leaves") & (F.col("late_inbound") > 0)).drop("leaves")
 
 
 def _tiers(window: ConnectionWindow, delays: Sequence[float]) -> list[tuple[int, int]]:
@@ -195,6 +251,59 @@ def _destination_loads(
     return _connection_load(late, departures, tiers, weights), tiers
 
 
+TIERS_PER_ROW = 16
+
+
+def _tier_pairs(flights: DataFrame, tiers: list[tuple[int, int]], min_arr_delay: float, hubs, dates) -> DataFrame:
+    """Per (hub, day): direct, the flights that arrive late at all; and per destination, pairs: matched pairs up to each tier.
+
+    The tiers' counts are running sums of the notes that a flight makes as an arrival, at both ends of its stretch in every
+    tier it reaches; as a departure it makes one note per row of tiers. One scan, in which all notes of a minute are summed.
+    """
+    width = min(len(tiers), TIERS_PER_ROW)
+    rows = -(-len(tiers) // width)
+    firsts, lasts = (f"array({', '.join(str(t[end]) for t in tiers)})" for end in (0, 1))
+    none = "cast(null as int) as slot, 0 as n"
+
+    def arrival(minute: str, n: int) -> str:
+        fields = f"dest as hub, cast(t div {width} as int) as tier_row, cast(t % {width} as int) as slot, {n} as n, {minute} as minute"
+        note = f"struct({fields}, cast(null as string) as outbound_dest, 0 as departures, 0 as direct)"
+        return f"transform(reached, t -> {note})"
+
+    reached = f"if(arrival is null, array(), filter(sequence(0, {len(tiers) - 1}), t -> get({firsts}, t) <= longest_gap)) as reached"
+    direct = f"array(struct(dest as hub, -1 as tier_row, {none}, cast(null as int) as minute, cast(null as string) as outbound_dest, 0 as departures, late as direct))"
+    leaving = (
+        f"transform(if(departure is null, array(), sequence(0, {rows - 1})), r -> struct(origin as hub, r as tier_row, {none}, "
+        "departure as minute, dest as outbound_dest, 1 as departures, 0 as direct))"
+    )
+    notes = [
+        arrival(f"arrival + get({firsts}, t)", 1), arrival(f"arrival + least(get({lasts}, t), longest_gap) + 1", -1), leaving, direct
+    ]
+    late = (F.coalesce("arrdelayminutes", F.lit(0.0)) > 0).cast("int").alias("late")
+    ends = _ends(flights, min_arr_delay, hubs, dates, late).selectExpr("*", reached)
+    noted = _at_hubs(ends.selectExpr("flightdate", "airline", f"inline(concat({', '.join(notes)}))"), hubs)
+    slots = [f"n_{i}" for i in range(width)]
+    minutes = noted.groupBy(*GROUP, "tier_row", "minute", "outbound_dest").agg(
+        *[F.sum(F.when(F.col("slot") == i, F.col("n"))).alias(name) for i, name in enumerate(slots)],
+        F.sum("departures").alias("departures"), F.sum("direct").alias("direct"),
+    )
+    so_far = W.partitionBy(*GROUP, "tier_row").orderBy("minute").rangeBetween(W.unboundedPreceding, W.currentRow)
+    reach = minutes.withColumns({name: F.coalesce(F.sum(name).over(so_far), F.lit(0)) for name in slots})
+    # A departure has all rows of tiers, reached or not, so that the rows of a destination lie end to end below.
+    counted = reach.filter("departures > 0 or tier_row < 0").groupBy("hub", "flightdate", "outbound_dest", "tier_row").agg(
+        F.array(*[F.sum(F.col(name) * F.col("departures")) for name in slots]).alias("pairs"), F.sum("direct").alias("direct")
+    )
+    lands = F.col("tier_row") < 0
+    ordered = F.array_sort(F.collect_list(F.when(~lands, F.struct("tier_row", "pairs"))))
+    whole = counted.groupBy("hub", "flightdate", "outbound_dest").agg(
+        F.flatten(F.transform(ordered, lambda row: row["pairs"])).alias("pairs"), F.sum("direct").alias("direct"),
+        F.max(lands).alias("lands"),
+    )
+    so_many = "concat(sums, array(coalesce(try_element_at(sums, -1), 0L) + n))"
+    fold = f"aggregate(pairs, cast(array() as array<bigint>), (sums, n) -> {so_many})"
+    return whole.withColumn("pairs", F.expr(fold))
+
+
 # --------------------------------------------------------------------------- operators
 
 
@@ -210,17 +319,7 @@ def cascade_matches(
 
     The pairs themselves grow with the square of a day's flights and are never built.
     """
-    late = (
-        _inbound(flights, hubs, dates)
-        .filter(F.col("inbound_delay") >= min_arr_delay)
-        .withColumn("longest_gap", F.least(_longest_gap(), F.lit(window.last_gap(delay))))
-    )
-    weights = {
-        "late_inbound": (F.count(F.lit(1)), F.sum),
-        "inbound_minutes": (F.sum("inbound_delay"), F.sum),
-        "max_inbound_delay": (F.max("inbound_delay"), F.max),
-    }
-    reach = _minute_reach(late, window.min_gap, weights)
+    reach = _reach(flights, min_arr_delay, window.min_gap, window.last_gap(delay), True, True, hubs, dates)
     return _outbound(flights, hubs, dates).join(reach, [*GROUP, "minute"]).select(
         "hub",
         "flightdate",
@@ -296,52 +395,25 @@ def cascade_impact(
     delays = sorted({float(delay) for delay in delays})
     if not delays:
         raise ValueError("give a trigger delay")
-    arrivals = _inbound(flights, hubs, dates).select(
-        "hub", "flightdate", (F.coalesce(F.col("inbound_delay"), F.lit(0.0)) > 0).cast("long").alias("direct")
-    )
-    direct = arrivals.groupBy("hub", "flightdate").agg(F.sum("direct").alias("direct"))
+    # Without a tier that a scenario reaches, this one keeps the columns and no scenario adds it up.
+    tiers = _tiers(window, delays) or [(window.min_gap, window.min_gap)]
+    days = _tier_pairs(flights, tiers, min_arr_delay, hubs, dates)
     if hubs is not None and dates is not None:
-        asked = [(hub, date, 0) for hub, date in product(dict.fromkeys(hubs), dict.fromkeys(dates))]
-        direct = direct.unionByName(
-            flights.sparkSession.createDataFrame(asked, "hub string, flightdate string, direct bigint")
-        )
-
-    tiers = _tiers(window, delays)
-    if tiers:
-        loads, _ = _destination_loads(flights, window, delays, min_arr_delay, hubs, dates)
-        reached = loads.groupBy("hub", "flightdate", "outbound_dest").agg(
-            *[F.sum(F.col(f"inbound_{t}") * F.col("departures")).alias(f"pairs_{t}") for t in range(len(tiers))]
-        )
-        # pairs per scenario: the tiers up to the scenario's last gap
-        per_scenario = []
-        for delay in delays:
-            within = [F.col(f"pairs_{t}") for t, (_, last) in enumerate(tiers) if last <= window.last_gap(delay)]
-            per_scenario.append(sum(within, F.lit(0).cast("long")))
-        direct = direct.unionByName(
-            reached.select(
-                "hub", "flightdate", F.struct("outbound_dest", F.array(*per_scenario).alias("pairs")).alias("reach")
-            ),
-            allowMissingColumns=True,
-        )
-    else:
-        direct = direct.withColumn("reach", F.lit(None).cast("struct<outbound_dest: string, pairs: array<bigint>>"))
-
+        asked = [(hub, date, 0, True) for hub, date in product(dict.fromkeys(hubs), dict.fromkeys(dates))]
+        schema = "hub string, flightdate string, direct bigint, lands boolean"
+        days = days.unionByName(flights.sparkSession.createDataFrame(asked, schema), allowMissingColumns=True)
     # one list entry per destination of the hub, however many flights go there
-    days = direct.groupBy("hub", "flightdate").agg(
-        F.coalesce(F.sum("direct"), F.lit(0)).alias("direct"), F.collect_list("reach").alias("reach")
-    )
-    scenarios = days.select("*", F.posexplode(F.array(*[F.lit(d) for d in delays])).alias("scenario", "delay"))
-    ranked = F.array_sort(
-        F.transform(
-            F.filter("reach", lambda r: F.get(r["pairs"], F.col("scenario")) > 0),
-            lambda r: F.struct(
-                (-F.get(r["pairs"], F.col("scenario"))).alias("order"), r["outbound_dest"].alias("dest")
-            ),
-        )
-    )
-    scenarios = scenarios.withColumn("ranked", ranked).withColumn(
-        "cascade", F.aggregate("ranked", F.lit(0).cast("long"), lambda total, r: total - r["order"])
-    )
+    reached = F.when(F.try_element_at("pairs", F.lit(-1)) > 0, F.struct("outbound_dest", "pairs"))
+    days = days.groupBy("hub", "flightdate").agg(
+        F.coalesce(F.sum("direct"), F.lit(0)).alias("direct"), F.max("lands").alias("lands"), F.collect_list(reached).alias("reach")
+    ).filter("lands")
+    upto = [sum(last <= window.last_gap(delay) for _, last in tiers) for delay in delays]
+    each = ", ".join(f"named_struct('delay', {delay!r}D, 'upto', {n})" for delay, n in zip(delays, upto, strict=True))
+    scenarios = days.selectExpr("*", f"inline(array({each}))")
+    count = "if(upto = 0, 0L, get(r.pairs, upto - 1))"
+    scenarios = scenarios.withColumn(
+        "ranked", F.expr(f"array_sort(transform(filter(reach, r -> {count} > 0), r -> struct(-{count} as order, r.outbound_dest as dest)))")
+    ).withColumn("cascade", F.aggregate("ranked", F.lit(0).cast("long"), lambda total, r: total - r["order"]))
     impact = cascade_costs(F.col("direct"), F.col("cascade"), F.col("delay"), costs)
     return scenarios.select(
         F.col("hub").alias("airport"),
@@ -391,39 +463,28 @@ def cascade_chain(
     """
     hubs = None if hub is None else [hub]
     dates = None if date is None else [date]
-    late = _inbound(flights, hubs, dates).filter(F.col("inbound_delay") >= min_delay)
-    reach = _minute_reach(
-        late.withColumn("longest_gap", F.lit(gap[1])), gap[0], {"inbound": (F.count(F.lit(1)), F.sum)}
-    )
-    fed = (
-        _outbound(flights, hubs, dates)
-        .filter(F.col("outbound_delay") > 0)
-        .join(reach, [*GROUP, "minute"])
-        .groupBy("hub", "flightdate", "flight_num", "outbound_dest", F.col("outbound_delay").alias("minutes"))
-        .agg(F.sum("inbound").alias("weight"))
-    )
-    arrivals = late.groupBy("hub", "flightdate", "flight_num", F.col("inbound_delay").alias("minutes")).agg(
-        F.count(F.lit(1)).alias("weight")
-    )
+    reach = _reach(flights, min_delay, gap[0], gap[1], False, False, hubs, dates).drop("inbound_minutes")
+    number = F.col("flight_number_reporting_airline").alias("flight_num")
+    late_departure = F.when(F.col("depdelayminutes") > 0, F.col("depdelayminutes")).alias("late_departure")
+    ends = _ends(flights, min_delay, hubs, dates, number, late_departure, (F.col("arrdelayminutes") >= min_delay).alias("late"))
+    levels = [
+        "if(late, named_struct('hub', dest, 'minute', cast(null as int), 'cascade_level', 0, 'going_to', dest, 'minutes', delay), null)",
+        "if(departure is not null and late_departure is not null, named_struct('hub', origin, 'minute', departure, "
+        "'cascade_level', 1, 'going_to', dest, 'minutes', late_departure), null)",
+    ]
+    both = ends.selectExpr("flightdate", "airline", "flight_num", f"inline(array({', '.join(levels)}))").filter("cascade_level is not null")
+    both = _at_hubs(both, hubs).groupBy(*GROUP, "minute", "cascade_level", "flight_num", "going_to", "minutes").agg(F.count(F.lit(1)).alias("flights"))
+    weighed = both.join(reach, [*GROUP, "minute"], "left")
+    weight = F.when(F.col("cascade_level") == 0, F.lit(1)).otherwise(F.col("late_inbound")) * F.col("flights")
+    levels = weighed.select("hub", "flightdate", "cascade_level", "flight_num", "going_to", "minutes", weight.alias("weight")).filter("weight is not null")
     if hubs and dates:
-        asked = [(hub, date, None, None, 0)]
-        schema = "hub string, flightdate string, flight_num int, minutes double, weight bigint"
-        arrivals = arrivals.unionByName(flights.sparkSession.createDataFrame(asked, schema))
-    level0 = arrivals.withColumn("cascade_level", F.lit(0)).withColumn("going_to", F.col("hub"))
-    level1 = fed.select(
-        "hub",
-        "flightdate",
-        "flight_num",
-        "minutes",
-        "weight",
-        F.lit(1).alias("cascade_level"),
-        F.col("outbound_dest").alias("going_to"),
-    )
+        asked = [(hub, date, 0, None, None, None, 0)]
+        schema = "hub string, flightdate string, cascade_level int, flight_num int, going_to string, minutes double, weight bigint"
+        levels = levels.unionByName(flights.sparkSession.createDataFrame(asked, schema))
     affected = F.countDistinct("flight_num")
     mean = F.sum(F.col("minutes") * F.col("weight")) / F.nullif(F.sum("weight"), F.lit(0))
     return (
-        level0.unionByName(level1)
-        .groupBy(F.col("hub").alias("airport"), F.col("flightdate").alias("flight_date"), "cascade_level")
+        levels.groupBy(F.col("hub").alias("airport"), F.col("flightdate").alias("flight_date"), "cascade_level")
         .agg(
             affected.alias("flights_affected"),
             F.countDistinct("going_to").alias("destinations_affected"),

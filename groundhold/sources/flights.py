@@ -40,26 +40,26 @@ def _read_text(spark: SparkSession, csv_dir: str) -> DataFrame:
     undated = headers.filter(date_place < 0).select("file").limit(3).collect()
     if undated:
         raise ValueError(f"no flightdate column in {', '.join(r.file for r in undated)}")
-    used = F.sort_array(F.array_distinct(F.flatten(F.collect_set("places"))))
-    files, widest, places = headers.agg(F.count(F.lit(1)), F.max(F.size("names")), used).first()
+    kinds = [F.collect_set(F.get("places", F.lit(i))).alias(name) for i, name in enumerate(RAW_FLIGHTS.names)]
+    files, widest, *places = headers.agg(F.count(F.lit(1)), F.max(F.size("names")), *kinds).first()
     if not files:
         raise ValueError(f"no rows in {csv_dir}")
-    # All places that some file keeps are read by one scan; a row picks its own by the places of its file.
-    used = [place for place in places if place >= 0]
+    # One scan reads every place that some file keeps; a row picks its own by the places of its file.
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(widest)])
     rows = spark.read.schema(schema).option("encoding", ENCODING).option("mode", "PERMISSIVE").csv(csv_dir)
+    used = sorted({place for found in places for place in found if place >= 0})
     rows = rows.select(F.col("_metadata.file_path").alias("of"), *[f"c{i}" for i in used])
-    slot = F.transform("places", lambda place: F.array_position(F.array(*map(F.lit, used)), place).cast("int") - 1)
-    known = headers.select(F.col("file"), slot.alias("slots"))
+    known = headers.select("file", *[F.get("places", F.lit(i)).alias(f"at_{name}") for i, name in enumerate(RAW_FLIGHTS.names)])
     joined = rows.join(F.broadcast(known) if files <= BROADCAST_FILES else known, F.col("of") == F.col("file"))
-    values = joined.withColumn("read", F.array(*[F.col(f"c{i}") for i in used])).select("file", "slots", "read")
 
-    def value(at: int) -> Column:
-        slot = F.get("slots", F.lit(at))
-        return F.when(slot >= 0, F.get("read", slot))
+    def value(name: str, found: list[int]) -> str:
+        there = sorted(place for place in found if place >= 0)
+        if len(found) == 1:  # all files agree
+            return f"c{there[0]} as {name}" if there else f"cast(null as string) as {name}"
+        return f"case at_{name} {' '.join(f'when {place} then c{place}' for place in there)} end as {name}"
 
-    found = values.select("file", *[value(i).alias(name) for i, name in enumerate(RAW_FLIGHTS.names)])
-    return found.filter(F.lower(F.trim(F.coalesce("flightdate", F.lit("")))) != "flightdate")
+    text = joined.selectExpr("file", *map(value, RAW_FLIGHTS.names, places))
+    return text.filter(F.lower(F.trim(F.coalesce("flightdate", F.lit("")))) != "flightdate")
 
 
 def _typed(field: T.StructField) -> Column:

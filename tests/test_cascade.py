@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from groundhold.operators import cascade
 from groundhold.operators import (
     cascade_by_destination,
     cascade_chain,
@@ -117,7 +118,7 @@ def test_matches(make_flights, random_rows, delay):
 
 
 def test_hot_group_is_summed_by_minutes(make_flights):
-    """Most flights in one group: what the chain and the matches spread out is bounded by minutes, not by flights."""
+    """Most flights in one group: windows see rows summed by minute, and no stretch is spread over its minutes."""
     rows = [complete(inbound(600 + n % 5, 200.0, number=n)) for n in range(1_000)]
     rows += [complete(outbound(700, 40.0, number=n)) for n in range(1_000)]
     got = cascade_matches(make_flights(rows), 90).collect()
@@ -125,7 +126,26 @@ def test_hot_group_is_summed_by_minutes(make_flights):
     _, one = cascade_chain(make_flights(rows)).collect()
     assert (one.flights_affected, one.avg_delay_propagated) == (1_000, 40.0)
     text = cascade_chain(make_flights(rows), hub=None, date=None)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in text
+    assert "sequence" not in text
+    reach = cascade._reach(make_flights(rows), 15, 20, 135, True, True)
+    assert [tuple(r)[3:6] for r in reach.collect()] == [(700, 1_000, 200_000.0)]
+
+
+@pytest.mark.parametrize("first_last", [(20, 20), (20, 21), (1, 64), (20, 200), (30, 10)])
+def test_longest_delay_by_doubling(make_flights, first_last):
+    """Stretches of every length from one minute on, against every inbound flight of every departure."""
+    first, last = first_last
+    rng = random.Random(11)
+    rows = [complete(inbound(rng.randrange(200, 700), float(rng.choice([15, 18, 22, 23, 35, 60, 61, 64, 130, 300, 16.5])))) for _ in range(120)]
+    rows += [complete(outbound(m)) for m in range(200, 960, 3)]
+    expected = {}
+    for m in range(200, 960, 3):
+        found = [i["arrdelayminutes"] for i in rows if i["crsarrtime"] is not None
+                 and first <= m - minutes(i["crsarrtime"]) <= last and i["arrdelayminutes"] > m - minutes(i["crsarrtime"])]
+        if found:
+            expected[m] = (len(found), sum(found), max(found))
+    got = cascade._reach(make_flights(rows), 15, first, last, True, True).collect()
+    assert {r.minute: (r.late_inbound, r.inbound_minutes, r.max_inbound_delay) for r in got} == expected
 
 
 def test_by_destination(make_flights, random_rows):
@@ -165,6 +185,29 @@ def test_impact(make_flights, random_rows):
             assert row.total_affected_passengers == int((direct[day] + counts[day].total()) * 160 * 0.87)
 
 
+def test_impact_of_many_scenarios(make_flights, random_rows):
+    """Five hundred trigger delays: tiers in several rows, one job; each scenario agrees with one asked for alone."""
+    flights, delays = make_flights(random_rows), [d / 2 for d in range(1, 501)]
+    many = cascade_impact(flights, delays)
+    got = {(r.airport, r.flight_date, r.trigger_delay_minutes): r for r in many.collect()}
+    days = {(r["dest"], r["flightdate"]) for r in random_rows}
+    assert len(got) == 500 * len(days)
+    counts = Counter((o["origin"], o["flightdate"], gap) for o, _, gap in pairs(random_rows, 1440))
+    for (hub, day, delay), r in got.items():
+        limit = 45 + int(delay)
+        assert r.cascade_affected_flights == sum(n for (h, d, gap), n in counts.items() if (h, d) == (hub, day) and gap <= limit)
+    for delay in (0.5, 33.0, 250.0):
+        for r in cascade_impact(flights, [delay]).collect():
+            assert r == got[r.airport, r.flight_date, delay]
+
+
+def test_impact_without_a_tier(make_flights):
+    """A window that no scenario reaches: direct flights only; days with departures alone have no row."""
+    flights = make_flights([inbound(600, 30.0), outbound(630, dest="ORD"), outbound(630, hub="XXX", dest="ORD")])
+    (row,) = cascade_impact(flights, [1], window=cascade.ConnectionWindow(min_gap=100)).collect()
+    assert (row.airport, row.directly_affected_flights, row.cascade_affected_flights, row.affected_destinations) == ("ORD", 1, 0, [])
+
+
 def test_impact_of_a_day_without_flights(make_flights):
     flights = make_flights([inbound(600, 30.0)])
     (row,) = cascade_impact(flights, [90], hubs=["XXX"], dates=["2030-01-01"]).collect()

@@ -94,7 +94,9 @@ def _land_layouts(rows: DataFrame, path: str) -> None:
     padded = rows.filter("month = 9").withColumn("tail_number", F.lit("N1"))
     _land_csv(padded.select(*[F.col(c).alias(f" {c.upper()} " if i % 2 else c) for i, c in enumerate(padded.columns)]), path)
     _land_csv(rows.filter("month = 10").select(*rows.columns[::-1]), path, quoteAll="true", ignoreLeadingWhiteSpace="false")
-    spread = [c for name in rows.columns for c in (F.lit("x, y").alias(f"div_{name}"), F.col(name).alias(name.title()))]
+    spread = [F.col(name).alias(name.title()) for name in rows.columns]
+    for at in range(0, 40, 9):
+        spread.insert(at, F.lit("x, y").alias(f"div_{at}"))
     _land_csv(rows.filter("month not in (9, 10)").select(*spread), path)
 
 
