@@ -148,9 +148,10 @@ def _late_ends(min_arr_delay: float) -> tuple[Column, Column]:
     return arrival, (F.ceil(delay) - 1).cast("int")
 
 
-def _departure_minute() -> Column:
-    """The minute of a departure that was flown, else NULL."""
-    return F.when(F.col("cancelled") == 0, hhmm_to_minutes("crsdeptime").cast("int"))
+def _departure_minute(only_late: bool = False) -> Column:
+    """The minute of a departure that was flown (and, if asked, left late), else NULL."""
+    flown = F.col("cancelled") == 0
+    return F.when(flown & (F.col("depdelayminutes") > 0) if only_late else flown, hhmm_to_minutes("crsdeptime").cast("int"))
 
 
 def _either_end(flights: DataFrame, hubs, dates) -> DataFrame:
@@ -160,13 +161,13 @@ def _either_end(flights: DataFrame, hubs, dates) -> DataFrame:
     return flights if dates is None else flights.filter(F.col("flightdate").isin(list(dates)))
 
 
-def _ends(flights: DataFrame, min_arr_delay: float, hubs, dates, *more: Column) -> DataFrame:
+def _ends(flights: DataFrame, min_arr_delay: float, hubs, dates, *more: Column, only_late: bool = False) -> DataFrame:
     """One row per flight that arrives late or leaves: arrival and departure are NULL where it doesn't."""
     arrival, reach = _late_ends(min_arr_delay)
     return _either_end(flights, hubs, dates).select(
         "origin", "dest", "flightdate", F.col("iata_code_reporting_airline").alias("airline"),
         F.col("arrdelayminutes").alias("delay"), arrival.alias("arrival"), reach.alias("longest_gap"),
-        _departure_minute().alias("departure"), *more,
+        _departure_minute(only_late).alias("departure"), *more,
     )
 
 
@@ -176,11 +177,13 @@ def _at_hubs(notes: DataFrame, hubs) -> DataFrame:
 
 
 def _reach(
-    flights: DataFrame, min_arr_delay: float, first_gap: int, last_gap: int, by_delay: bool, longest: bool, hubs=None, dates=None
-) -> DataFrame:
+    flights: DataFrame, min_arr_delay: float, first_gap: int, last_gap: int, by_delay: bool, longest: bool, hubs=None, dates=None,
+    only_late: bool = False,
+) -> DataFrame:
     """Per departure minute of a (hub, day, airline): late_inbound flights that reach it, and the sum of their delays.
 
-    With ``by_delay`` a flight reaches no further than its delay exceeds the gap. ``longest`` adds max_inbound_delay. One
+    With ``by_delay`` a flight reaches no further than its delay exceeds the gap. ``longest`` adds max_inbound_delay, and
+    ``only_late`` leaves out minutes in which all departures were on time. One
     scan: a flight notes its stretch as an arrival and its minute as a departure, and notes are summed by minute before the
     window sees them.
     """
@@ -199,7 +202,7 @@ def _reach(
     ]
     if longest:
         notes.append(note(late, "dest", "until + 1 - shiftleft(1, power)", 0, "power"))
-    stretches = _ends(flights, min_arr_delay, hubs, dates).filter("arrival is not null or departure is not null")
+    stretches = _ends(flights, min_arr_delay, hubs, dates, only_late=only_late).filter("arrival is not null or departure is not null")
     stretches = stretches.selectExpr("*", f"arrival + {first_gap} as start", f"{until} as until").selectExpr("*", f"{power} as power")
     noted = stretches.selectExpr("flightdate", "airline", "delay", f"inline(array({', '.join(notes)}))").filter("minute is not null")
     minutes = _at_hubs(noted, hubs).groupBy(*GROUP, "minute").agg(
@@ -463,19 +466,19 @@ def cascade_chain(
     """
     hubs = None if hub is None else [hub]
     dates = None if date is None else [date]
-    reach = _reach(flights, min_delay, gap[0], gap[1], False, False, hubs, dates).drop("inbound_minutes")
+    reach = _reach(flights, min_delay, gap[0], gap[1], False, False, hubs, dates, only_late=True).drop("inbound_minutes")
     number = F.col("flight_number_reporting_airline").alias("flight_num")
-    late_departure = F.when(F.col("depdelayminutes") > 0, F.col("depdelayminutes")).alias("late_departure")
-    ends = _ends(flights, min_delay, hubs, dates, number, late_departure, (F.col("arrdelayminutes") >= min_delay).alias("late"))
+    late = (F.col("arrdelayminutes") >= min_delay).alias("late")
+    ends = _ends(flights, min_delay, hubs, dates, number, F.col("depdelayminutes"), late, only_late=True)
+    ends = ends.filter("late or departure is not null")
     levels = [
         "if(late, named_struct('hub', dest, 'minute', cast(null as int), 'cascade_level', 0, 'going_to', dest, 'minutes', delay), null)",
-        "if(departure is not null and late_departure is not null, named_struct('hub', origin, 'minute', departure, "
-        "'cascade_level', 1, 'going_to', dest, 'minutes', late_departure), null)",
+        "if(departure is not null, named_struct('hub', origin, 'minute', departure, 'cascade_level', 1, 'going_to', dest, "
+        "'minutes', depdelayminutes), null)",
     ]
     both = ends.selectExpr("flightdate", "airline", "flight_num", f"inline(array({', '.join(levels)}))").filter("cascade_level is not null")
-    both = _at_hubs(both, hubs).groupBy(*GROUP, "minute", "cascade_level", "flight_num", "going_to", "minutes").agg(F.count(F.lit(1)).alias("flights"))
-    weighed = both.join(reach, [*GROUP, "minute"], "left")
-    weight = F.when(F.col("cascade_level") == 0, F.lit(1)).otherwise(F.col("late_inbound")) * F.col("flights")
+    weighed = _at_hubs(both, hubs).join(reach, [*GROUP, "minute"], "left")
+    weight = F.when(F.col("cascade_level") == 0, F.lit(1)).otherwise(F.col("late_inbound"))
     levels = weighed.select("hub", "flightdate", "cascade_level", "flight_num", "going_to", "minutes", weight.alias("weight")).filter("weight is not null")
     if hubs and dates:
         asked = [(hub, date, 0, None, None, None, 0)]

@@ -43,14 +43,19 @@ def test_cascades_have_no_nested_loops(table):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
-def test_cascades_scan_the_flights_once_per_use(table):
+def test_cascades_scan_the_flights_once_per_use(spark, table):
+    pruning = "spark.sql.optimizer.dynamicPartitionPruning.enabled"  # shows the join's other side a second time
+    spark.conf.set(pruning, "false")
     scans = {
         "impact": (op.cascade_impact(table, range(15, 241, 15)), 1),
         "matches": (op.cascade_matches(table), 2),
         "chain": (op.cascade_chain(table, hub=None, date=None), 2),
     }
-    for name, (df, most) in scans.items():
-        assert plan(df).count("FileScan parquet") <= most, name
+    try:
+        for name, (df, most) in scans.items():
+            assert plan(df).count("FileScan parquet") <= most, name
+    finally:
+        spark.conf.unset(pruning)
 
 
 def test_staging_does_not_shuffle(table):
