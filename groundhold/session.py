@@ -61,3 +61,20 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the scratch folder that no earlier run has used."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whichever Spark reads it with."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where there is no such folder."""
+    where, files = _folder(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(where)] if files.exists(where) else []
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where, files = _folder(spark, path)
+    files.delete(where, True)

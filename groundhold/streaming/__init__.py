@@ -5,7 +5,7 @@ from .feeds import (
     positions_source,
     read_latest_weather,
     stream_airspace,
-    stream_dedup_airspace,
+    write_unique_airspace,
     stream_latest_weather,
     stream_positions,
     stream_weather,
@@ -15,6 +15,6 @@ from .feeds import (
 
 __all__ = [
     "airspace_source", "positions_source", "read_latest_weather", "stream_airspace",
-    "stream_dedup_airspace", "stream_latest_weather", "stream_positions", "stream_weather",
+    "write_unique_airspace", "stream_latest_weather", "stream_positions", "stream_weather",
     "weather_source", "write_latest_weather",
 ]

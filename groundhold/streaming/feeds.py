@@ -9,12 +9,16 @@ executors share.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..plans.serving import latest_weather
-from ..schemas import POSITION_PAYLOAD, WEATHER_PAYLOAD
+from ..schemas import POSITION_PAYLOAD, RAW_AIRSPACE, WEATHER_PAYLOAD
+from ..session import drop_folder, subfolders
 from ..sources.airspace import ROOT_TAG, airspace_documents, flatten_airspace
 from ..sources.positions import file_time, flatten_positions
 from ..sources.weather import flatten_weather
@@ -115,20 +119,32 @@ def stream_latest_weather(weather: DataFrame) -> DataFrame:
     return latest_weather(weather)
 
 
+KEPT_VERSIONS = 3
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(name.split("=")[1]) for name in subfolders(spark, path) if name.startswith("version="))
+
+
 def write_latest_weather(
     weather: DataFrame, path: str, checkpoint: str, once: bool = True, interval: int = WEATHER_INTERVAL
 ) -> StreamingQuery:
-    """Write the stations that changed in each micro-batch below ``path``.
+    """Write the newest observation of every station below ``path``, as one version per micro-batch.
 
-    A micro-batch that is retried replaces its own folder.
+    A version is whole (one row per station), so readers need one of them, and the last few are kept for readers that are
+    under way. A micro-batch that is retried replaces its own version.
     """
+    root = path.rstrip("/")
 
-    def save(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    def save(state: DataFrame, batch_id: int) -> None:
+        spark = state.sparkSession
+        state.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+        for old in _versions(spark, root)[:-KEPT_VERSIONS]:
+            drop_folder(spark, f"{root}/version={old}")
 
     writer = (
         stream_latest_weather(weather)
-        .writeStream.outputMode("update")
+        .writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(save)
     )
@@ -136,26 +152,51 @@ def write_latest_weather(
 
 
 def read_latest_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Current state of every station from the changes written so far."""
-    changes = spark.read.parquet(path)
-    return latest_weather(changes.drop("batch_id", "weather", "flight_category_meaning"))
+    """Current state of every station: the newest version that was written to its end."""
+    root = path.rstrip("/")
+    for version in reversed(_versions(spark, root)):
+        if "_SUCCESS" in subfolders(spark, f"{root}/version={version}"):
+            return spark.read.parquet(f"{root}/version={version}")
+    raise ValueError(f"no version in {path}")
+
 
+_UNIQUE_KEYS = ["airport_code", "delay_type", "delay_reason", "polled_at"]
 
-def stream_dedup_airspace(status: DataFrame, lateness: str | None = None) -> DataFrame:
-    """One row per (airport, type, reason) of a poll on a stream of flat status rows.
+def _poll_day():
+    """The day of a poll as a folder's name."""
+    return F.coalesce(F.regexp_replace(F.substring("polled_at", 1, 10), "[^0-9A-Za-z-]", "_"), F.lit("none"))
 
-    The poll time is part of the key, so equal rows share their event time and the
-    watermark only decides how long keys are remembered. By default every key is:
-    no first occurrence is ever dropped, however the input is batched, and the state
-    grows with the polls. With a ``lateness``, rows that arrive further behind the
-    newest poll are dropped; choose it above the longest outage of the collector.
+
+def write_unique_airspace(
+    status: DataFrame, path: str, checkpoint: str, once: bool = True, interval: int = AIRSPACE_INTERVAL
+) -> StreamingQuery:
+    """Append one row per (airport, type, reason) of a poll from a stream of flat status rows, however late rows arrive.
+
+    What was written before is the memory: a micro-batch compares its rows with the days of the polls it holds, and with
+    nothing else; the days, one short text each, are what reaches the driver. So no first occurrence is lost and none is written twice, whatever the order of the input; there is no
+    state that grows, and a poll that comes days late costs the reading of its day. Of several rows of one micro-batch the
+    one with the smallest remaining values is kept. A micro-batch that is retried first forgets what it wrote before.
     """
-    keys = ["airport_code", "delay_type", "delay_reason", "polled_at"]
-    if lateness is None:
-        return status.dropDuplicates(keys)
-    return (
-        status.withColumn("polled_ts", F.try_to_timestamp("polled_at"))
-        .withWatermark("polled_ts", lateness)
-        .dropDuplicatesWithinWatermark(keys)
-        .drop("polled_ts")
-    )
+    root = path.rstrip("/")
+    rest = [name for name in RAW_AIRSPACE.names if name not in _UNIQUE_KEYS]
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.groupBy(*_UNIQUE_KEYS).agg(F.min(F.struct(*rest)).alias("kept"))
+        rows = rows.select(*_UNIQUE_KEYS, "kept.*").withColumn("poll_day", _poll_day()).persist()
+        try:
+            days = [f"{root}/poll_day={r.poll_day}" for r in rows.select("poll_day").distinct().collect()]
+            for day in days:
+                drop_folder(spark, f"{day}/batch_id={batch_id}")
+            fresh, known = rows, [day for day in days if subfolders(spark, day)]
+            if known:
+                before = spark.read.schema(RAW_AIRSPACE).option("basePath", root).parquet(*known).select(*[F.col(k).alias(f"old_{k}") for k in _UNIQUE_KEYS])
+                same = [F.col(k).eqNullSafe(F.col(f"old_{k}")) for k in _UNIQUE_KEYS]
+                fresh = rows.join(before, reduce(and_, same), "left_anti")
+            fresh = fresh.withColumn("batch_id", F.lit(batch_id)).select(*RAW_AIRSPACE.names, "poll_day", "batch_id")
+            fresh.hint("rebalance", "poll_day").write.mode("append").partitionBy("poll_day", "batch_id").parquet(root)
+        finally:
+            rows.unpersist()
+
+    writer = status.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(save)
+    return _trigger(writer, once, interval).start()

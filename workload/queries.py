@@ -672,8 +672,6 @@ def stream_latest_weather(spark, sf):
 @query
 def stream_dedup_airspace(spark, sf):
     polled = airspace(spark, sf).withColumn("polled_at", F.concat(F.substring("polled_at", 1, 15), F.lit("0:00Z")))
-    unique = streaming.stream_dedup_airspace(_as_stream(spark, polled, "airspace-raw"))
     path, checkpoint = scratch_path(spark, "airspace-unique"), scratch_path(spark, "airspace-unique-checkpoint")
-    writer = unique.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    _await(writer.trigger(availableNow=True).start(path))
+    _await(streaming.write_unique_airspace(_as_stream(spark, polled, "airspace-raw"), path, checkpoint))
     return src.read_raw(spark, path, RAW_AIRSPACE)
