@@ -9,6 +9,7 @@ from .cascade import (
     cascade_impact,
     cascade_matches,
 )
+from .presence import code_book, daily_presence, distinct_over
 from .quality import (
     DEFAULT_EXPECTATIONS,
     Expectation,
@@ -26,7 +27,8 @@ from .staging import stg_airspace, stg_flights, stg_positions, stg_weather
 __all__ = [
     "ConnectionWindow", "DEFAULT_EXPECTATIONS", "Expectation", "assert_non_negative_delay",
     "cascade_by_destination", "cascade_chain", "cascade_destination_detail", "cascade_estimate",
-    "cascade_impact", "cascade_matches", "detect_issues", "distinct_dates", "health_rollup",
+    "cascade_impact", "cascade_matches", "code_book", "daily_presence", "detect_issues", "distinct_dates",
+    "distinct_over", "health_rollup",
     "int_airport_daily", "int_route_performance", "load_summary", "rolling_7row_avg",
     "staged_cells", "stg_airspace", "stg_flights", "stg_positions", "stg_weather",
     "table_health", "table_inventory", "top_n",

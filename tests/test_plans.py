@@ -130,3 +130,56 @@ def test_hot_airport_keeps_every_flight(make_flights):
     days = op.int_airport_daily(op.stg_flights(make_flights(hot + rest)))
     assert days.agg(F.sum("total_departures")).first()[0] == 900
     assert days.filter("airport = 'ORD'").first().avg_dep_delay_min == 30.0
+
+
+def by_day(make_flights, days, delay=20.0, **more):
+    return [dict(flightdate=f"2025-10-{day:02}", **delayed(delay + day, **more)) for day in days]
+
+
+def files(folder):
+    return {p.relative_to(folder): (p.stat().st_mtime_ns, p.stat().st_size) for p in folder.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("case", ["changed", "added", "gone", "sparse"])
+def test_refresh_equals_a_full_build(spark, make_flights, tmp_path, case):
+    """Days that change, appear or vanish; airports with rows on few days; files of days that no mean reaches stay as they are."""
+    base = by_day(make_flights, range(1, 29)) + by_day(make_flights, [1, 2, 3, 9, 14, 15, 20, 21, 22, 27], 50.0, origin="ATL", dest="ORD")
+    before, after, days = list(base), list(base), ["2025-10-10"]
+    if case == "changed":
+        after += by_day(make_flights, [10], 90.0)
+    elif case == "added":
+        before = [r for r in base if r["flightdate"] != "2025-10-10"]
+    elif case == "gone":
+        after, days = [r for r in base if r["flightdate"] not in ("2025-10-10", "2025-10-11")], ["2025-10-10", "2025-10-11"]
+    else:
+        after, days = base + by_day(make_flights, [3], 90.0, origin="ATL", dest="ORD"), ["2025-10-03"]
+    plans.build_days(make_flights(before), str(tmp_path / "a"))
+    held = files(tmp_path / "a")
+    refreshed = plans.refresh_days(make_flights(after), str(tmp_path / "a"), days)
+    full = plans.build_days(make_flights(after), str(tmp_path / "b"))
+    assert sorted(map(tuple, refreshed.collect()), key=str) == sorted(map(tuple, full.collect()), key=str)
+    kept = {path for path, stamp in files(tmp_path / "a").items() if held.get(path) == stamp}
+    first = {"2025-10-01", "2025-10-02"} | (set() if case == "sparse" else {"2025-10-08", "2025-10-28"})
+    for day in first:
+        assert any(f"mart_delay_economics/flight_date={day}/" in str(p) for p in kept), day
+    changed = {str(p).split("=")[1][:10] for p in set(files(tmp_path / "a")) - kept if "flight_cells" in str(p)}
+    assert changed <= set(days)
+
+
+def test_refresh_needs_a_day(make_flights, tmp_path):
+    with pytest.raises(ValueError, match="day"):
+        plans.refresh_days(make_flights([{}]), str(tmp_path), [])
+
+
+def test_distinct_counts_merge(spark):
+    """Values beyond one bucket, nulls, a value that only a later book knows, and no expansion of rows."""
+    rows = [(f"d{n % 7}", f"v{n}", None if n % 3 else n % 5) for n in range(70_000)]
+    table = spark.createDataFrame(rows, "day string, a string, b int")
+    old = op.code_book(table.filter("day < 'd3'"), ["a", "b"])
+    book = op.code_book(table, ["a", "b"], old)
+    assert book.count() == book.select("column_name", "code").distinct().count() == 70_005
+    assert old.join(book, ["column_name", "value", "code"]).count() == old.count()
+    found = op.distinct_over(op.daily_presence(table, "day", ["a", "b"], book), {"all": ("d0", "d9"), "two": ("d1", "d2"), "none": ("x", "y")})
+    got = {(r.range_name, r.column_name): r.distinct_values for r in found.collect()}
+    assert got == {("all", "a"): 70_000, ("all", "b"): 5, ("two", "a"): 20_000, ("two", "b"): 5}
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()

@@ -360,6 +360,22 @@ ORACLE["materialize_marts"] = statement(
     "vuln",
     "routes",
 )
+ORACLE["refresh_days"] = statement("select * from econ", "econ")
+_PRESENT = ("origin", "dest", "iata_code_reporting_airline", "flight_number_reporting_airline")
+_RANGES = {
+    "september": "flightdate between '2025-09-01' and '2025-09-30'",
+    "one day": "flightdate = '2025-10-15'",
+    "all": "true",
+    "overlap": "flightdate between '2025-09-15' and '2025-10-15'",
+}
+ORACLE["distinct_over_ranges"] = statement(
+    " union all ".join(
+        f"select '{name}' as range_name, '{column}' as column_name, count(distinct {column}) as distinct_values from flights where {within}"
+        for name, within in _RANGES.items()
+        for column in _PRESENT
+    ),
+    "flights",
+)
 ORACLE["load_summary"] = statement(
     f"""
 select count(*) as total_flights, count(distinct origin) as unique_origins, count(distinct dest) as unique_destinations,
@@ -918,3 +934,7 @@ ORACLE["table_inventory"] = statement(
     listed=_INVENTORY,
 )
 ORACLE["assert_non_negative_delay"] = statement("select * from staged where dep_delay_abs_minutes < 0 limit 10", "staged")
+_EARLY = "flight_date, origin_airport, dest_airport, airline_iata, flight_number"
+ORACLE["assert_non_negative_early"] = statement(
+    f"select dep_delay_minutes, {_EARLY} from staged where dep_delay_minutes < 0 order by dep_delay_minutes, {_EARLY} limit 25", "staged"
+)

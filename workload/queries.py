@@ -205,6 +205,32 @@ def materialize_marts(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
+REFRESHED = ["2025-09-01", "2025-10-15", "2025-10-16", "2025-11-28"]
+
+
+@query
+def refresh_days(spark, sf):
+    """The airport-day mart, built from flights of which some days lacked half, one lacked all, and then brought up to date."""
+    raw, out = flights(spark, sf), scratch_path(spark, "marts-by-day")
+    day, number = F.col("flightdate"), F.col("flight_number_reporting_airline")
+    lacking = day.isin(REFRESHED[:3]) & (number % 2 == 0) | (day == REFRESHED[3])
+    plans.build_days(raw.filter(~lacking), out)
+    return plans.refresh_days(raw, out, REFRESHED)
+
+
+RANGES = {"september": ("2025-09-01", "2025-09-30"), "one day": ("2025-10-15", "2025-10-15"), "all": ("2025-01-01", "2025-12-31"),
+          "nothing": ("2030-01-01", "2030-12-31"), "overlap": ("2025-09-15", "2025-10-15")}
+PRESENT = ["origin", "dest", "iata_code_reporting_airline", "flight_number_reporting_airline"]
+
+
+@query
+def distinct_over_ranges(spark, sf):
+    raw = flights(spark, sf)
+    older = raw.filter("flightdate < '2025-10-01'")
+    book = op.code_book(raw, PRESENT, op.code_book(older, PRESENT))
+    return op.distinct_over(op.daily_presence(raw, "flightdate", PRESENT, book), RANGES)
+
+
 @query
 def load_summary(spark, sf):
     return op.load_summary(flights(spark, sf))
@@ -624,6 +650,13 @@ def assert_non_negative_delay(spark, sf):
     return op.assert_non_negative_delay(staged(spark, sf))
 
 
+@query
+def assert_non_negative_early(spark, sf):
+    """The same check on a column that breaks the rule: departures before their time are negative."""
+    named = ["flight_date", "origin_airport", "dest_airport", "airline_iata", "flight_number"]
+    return op.assert_non_negative_delay(staged(spark, sf), "dep_delay_minutes", 25, named).select("dep_delay_minutes", *named)
+
+
 # ------------------------------------------------------------------ streams
 
 
