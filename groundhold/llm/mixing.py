@@ -9,11 +9,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import WORD, materialize, small, words
+from .places import placed
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3  # no source, and no document, is taken more often
 BLOCK_WORDS = 64
 SHARD_WORDS = 1_000_000
+# Primes that stand for steps of the permutation of a shard's blocks; above any number of blocks.
+STEPS = (1_000_000_007, 1_000_000_009, 1_000_000_021, 1_000_000_033)
 
 
 def word_count(text: Column) -> Column:
@@ -44,36 +47,64 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, passes: int = MA
     return levels.select("source", "source_size", target.alias("target"))
 
 
-def apportion(votes: DataFrame, group: Sequence[str], seats: Column, votes_col: str, tie: Sequence[str]) -> DataFrame:
-    """Adds ``quota``: ``seats`` per group, given one by one to the highest quotient votes / (2 * seats so far + 1).
+def apportion(parties: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds ``quota``: round(sum of ``votes``) seats, each to the highest quotient votes / (2 * seats so far + 1).
 
-    All but a few seats follow from the quotas: whoever is owed q seats in proportion gets at least q - 1 of them under
-    this rule unless others take more, so each starts with floor(q - 1) and only the next three quotients compete.
-    Ties go to the order of ``tie``.
+    ``parties`` is materialized and has ``keys``, votes and ``most``, the seats that a party can take. With n parties and v
+    votes in all, the last quotient that wins lies between v / (seats + n/2) and v / (seats - n/2), halved: what lies above
+    is given at once, what lies below never wins, and the quotients between, at most two per party on average, are ranked.
+    The rank is that of a distributed sort. Ties go to the order of ``keys``.
     """
-    of = W.partitionBy(*group)
-    owed = seats * F.col(votes_col) / F.greatest(F.sum(votes_col).over(of), F.lit(1e-300))
-    start = votes.withColumn("given", F.greatest(F.floor(owed) - 1, F.lit(0)).cast("long"))
-    left = (seats - F.sum("given").over(of)).alias("left")
-    rivals = start.select("*", left).withColumn("more", F.explode(F.sequence(F.lit(0), F.lit(3))))
-    quotient = F.col(votes_col) / (2 * (F.col("given") + F.col("more")) + 1)
-    order = of.orderBy(F.desc(quotient), *tie, "more")
-    won = (F.row_number().over(order) <= F.col("left")) & (F.col(votes_col) > 0)
-    return rivals.withColumn("won", won.cast("long"))
+    n, all_votes, seats = parties.agg(F.count(F.lit(1)), F.sum("votes"), F.round(F.sum("votes"))).first()
+    if not n or not all_votes:
+        return parties.withColumn("quota", F.lit(0).cast("long"))
+
+    def over(divisor: float) -> Column:
+        return F.least(F.floor(F.col("votes") / divisor + 0.5), F.col("most"))
+
+    wide, narrow = all_votes / (seats + n / 2 + 1), seats - n / 2 - 1
+    low = over(all_votes / narrow) if narrow > 0 else F.lit(0)
+    sure = parties.withColumn("given", low.cast("long")).withColumn("limit", over(wide).cast("long"))
+    left = int(seats) - sure.agg(F.sum("given")).first()[0]
+    rivals = sure.filter("limit > given").select(*keys, "votes", F.explode(F.sequence("given", F.col("limit") - 1)).alias("seat"))
+    rivals = rivals.withColumn("quotient", F.col("votes") / (2 * F.col("seat") + 1))
+    order = [F.desc("quotient"), *[F.asc(k) for k in keys], F.asc("seat")]
+    won = placed(rivals, [], order, "mix-quotients").filter(F.col("place") < left)
+    won = won.groupBy(*keys).agg(F.count(F.lit(1)).alias("won"))
+    return sure.join(won, list(keys), "left").withColumn("quota", F.col("given") + F.coalesce("won", F.lit(0))).drop("given", "limit", "won")
+
+
+def block_of(at: Column) -> Column:
+    """The block of the word at a place of its shard; a shard's words are cut into blocks that differ by one word at most."""
+    return F.floor(((at + 1) * F.col("blocks") - 1) / F.col("words")).cast("long")
+
+
+def block_start(block: Column) -> Column:
+    return F.floor(block * F.col("words") / F.col("blocks")).cast("long")
+
+
+def times(block: Column) -> Column:
+    """How often a block is taken: the quota dealt evenly, the rest to the first blocks of a seeded permutation.
+
+    Block j is at place (step * j + turn) mod blocks; the step is a prime above any number of blocks, so all places differ.
+    """
+    place = (F.col("step") * block + F.col("turn")) % F.col("blocks")
+    return F.floor(F.col("quota") / F.col("blocks")).cast("long") + (place < F.col("quota") % F.col("blocks")).cast("long")
 
 
 def plan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 11,
     block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, keys: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame]:
-    """(documents, blocks). Documents: ``keys``, id, source, size, source_size, target, shard, at (words before it in its shard).
+) -> DataFrame:
+    """One row per document: ``keys``, id, source, size, source_size, target, shard, at (words before it in its shard).
 
-    Blocks, one row per document and block it touches: id, at and the block's word range, times (how often it is taken).
+    And of its shard: words, blocks, quota (blocks to take, repeats counted), step and turn of the permutation.
 
     The words of a source are dealt to shards by a seeded hash of the ids, so that a hot source spreads over many of
-    them, and lie in each shard in the order of the hash. A shard is cut into blocks of ``block_words`` (the last one may be
-    shorter). The source's target, in blocks, is apportioned to its shards by their words; a shard's quota takes all its
-    blocks as often as it can, and the rest are those with the smallest seeded hashes. Never more than three times.
+    them, and lie in each shard in the order of the hash. A shard is cut into equal blocks of ``block_words`` at most, so a
+    small source has small blocks. The blocks of all sources and shards are apportioned together: a shard's votes are the
+    blocks that its part of the source's target comes to. Its quota is at most three times its blocks, which are taken by
+    a seeded permutation: no table of blocks is made.
     """
     rows = docs.select(
         *keys, F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("source"),
@@ -93,35 +124,31 @@ def plan(
     pick = F.conv(F.left(draw, F.lit(8)), 16, 10).cast("long")
     dealt = rows.join(small(goals), same).drop("of").withColumn("draw", draw).withColumn("shard", pick % F.col("shards"))
 
-    shards = dealt.groupBy("no", "shard").agg(F.sum("size").alias("words"), F.first("target").alias("target"))
-    blocks = F.ceil(F.col("words") / block_words)
-    seats = F.round(F.col("target") / block_words)
-    shards = apportion(shards.withColumn("seats", seats), ["no"], F.col("seats"), "words", ["shard"])
-    quotas = shards.groupBy("no", "shard").agg(
-        F.first("words").alias("words"), (F.first("given") + F.sum("won")).alias("quota")
-    )
-    quotas = quotas.select("no", "shard", blocks.alias("blocks"), F.least("quota", MAX_PASSES * blocks).alias("quota"))
-    quotas = materialize(quotas, "mix-quotas")
+    shards = dealt.groupBy("no", "shard").agg(F.sum("size").alias("words"), F.first("target").alias("target"), F.first("source_size").alias("all"))
+    shards = shards.filter("words > 0").withColumn("blocks", F.ceil(F.col("words") / block_words))
+    votes = F.col("target") * F.col("blocks") / F.col("all")
+    shards = shards.select("no", "shard", "words", "blocks", votes.alias("votes"), (MAX_PASSES * F.col("blocks")).alias("most"))
+    quotas = apportion(materialize(shards, "mix-shards"), ["no", "shard"])
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), "no", "shard"))
+    step = F.get(F.array(*map(F.lit, STEPS)), (F.conv(F.substring(key, 9, 4), 16, 10).cast("long") % len(STEPS)).cast("int"))
+    turn = F.conv(F.left(key, F.lit(8)), 16, 10).cast("long") % F.col("blocks")
+    quotas = materialize(quotas.select("no", "shard", "words", "blocks", "quota", step.alias("step"), turn.alias("turn")), "mix-quotas")
 
     line = W.partitionBy("no", "shard").orderBy("draw", "id", "size", *keys)
     at = F.sum("size").over(line.rowsBetween(W.unboundedPreceding, -1))
-    placed = materialize(dealt.withColumn("at", F.coalesce(at, F.lit(0))).drop("draw", "shards"), "mix-lines")
+    placed_rows = dealt.withColumn("at", F.coalesce(at, F.lit(0))).drop("draw", "shards")
+    return placed_rows.join(quotas, ["no", "shard"], "left")
 
-    per_shard = quotas.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    key = F.md5(F.concat_ws("|", F.lit(str(seed)), "no", "shard", "block"))
-    turn = F.row_number().over(W.partitionBy("no", "shard").orderBy(key, "block"))
-    extra = (turn <= F.col("quota") % F.col("blocks")).cast("long")
-    chosen = per_shard.filter("blocks > 0").select("no", "shard", "block", (F.floor(F.col("quota") / F.col("blocks")) + extra).alias("times"))
-    last = F.floor((F.col("at") + F.col("size") - 1) / block_words)
-    touched = placed.filter("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("at") / block_words), last)))
-    return placed, touched.join(chosen.hint("merge"), ["no", "shard", "block"])
 
+def touched_blocks() -> Column:
+    """The blocks that a document's words lie in, as their numbers."""
+    return F.sequence(block_of(F.col("at")), block_of(F.col("at") + F.col("size") - 1))
 
-def _overlap(block_words: int) -> tuple[Column, Column]:
+
+def overlap(block: Column) -> tuple[Column, Column]:
     """The words of a document, from and up to, that lie in a block."""
-    low, high = F.col("block") * block_words, (F.col("block") + 1) * block_words
-    start = F.greatest(low, F.col("at")) - F.col("at")
-    return start, F.least(high, F.col("at") + F.col("size")) - F.col("at")
+    start = F.greatest(block_start(block), F.col("at")) - F.col("at")
+    return start, F.least(block_start(block + 1), F.col("at") + F.col("size")) - F.col("at")
 
 
 def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
@@ -131,15 +158,14 @@ def mix(docs: DataFrame, seed: int = 11, block_words: int = BLOCK_WORDS, **optio
     order of their sizes; rows that repeat all of it are taken as if they shared what both take. A null id is drawn like
     the word null. A null source is a source, after the others. An empty table gives no rows. Runs agree.
     """
-    placed, touched = plan(docs, seed=seed, block_words=block_words, **options)
-    start, end = _overlap(block_words)
-    taken = touched.groupBy("no", "shard", "at", "size").agg(F.sum((end - start) * F.col("times")).alias("taken"))
-    joined = placed.filter("size > 0").join(taken, ["no", "shard", "at", "size"], "left")
-    nothing = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    columns = [
-        F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-    ]
-    return joined.select(*columns).union(nothing.select(*columns))
+    rows = plan(docs, seed=seed, block_words=block_words, **options)
+
+    def add(total: Column, block: Column) -> Column:
+        start, end = overlap(block)
+        return total + (end - start) * times(block)
+
+    taken = F.when(F.col("size") > 0, F.aggregate(touched_blocks(), F.lit(0).cast("long"), add)).otherwise(F.lit(0))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
 def mixed_documents(
@@ -154,10 +180,12 @@ def mixed_documents(
     nothing and go. The rows are written once with a number each, so rows that repeat an id stay apart.
     """
     tagged = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-documents")
-    _, touched = plan(tagged, id_col, text_col, source_col, seed, block_words, keys=("__row",), **options)
-    start, end = _overlap(block_words)
+    rows = plan(tagged, id_col, text_col, source_col, seed, block_words, keys=("__row",), **options)
+    touched = rows.filter("size > 0 and quota > 0").withColumn("block", F.explode(touched_blocks()))
+    start, end = overlap(F.col("block"))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
-    spans = touched.filter("times > 0").select("__row", "size", start.alias("from"), end.alias("to"), each.alias("__pass"))
+    touched = touched.select("__row", "size", start.alias("from"), end.alias("to"), times(F.col("block")).alias("times"))
+    spans = touched.filter("times > 0").select("__row", "size", "from", "to", each.alias("__pass"))
     passes = spans.groupBy("__row", "__pass").agg(
         F.sum(F.col("to") - F.col("from")).alias("words"), F.first("size").alias("size"),
         F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"),

@@ -81,7 +81,7 @@ from b
 
 
 def _mix(seed: int = 11) -> str:
-    weights, passes, block = list(mixing.WEIGHTS), mixing.MAX_PASSES, mixing.BLOCK_WORDS
+    weights, passes, block, steps = list(mixing.WEIGHTS), mixing.MAX_PASSES, mixing.BLOCK_WORDS, list(mixing.STEPS)
     return rf"""
 with sizes as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) as bigint) as size,
@@ -105,35 +105,30 @@ with sizes as (
 ), dealt as (
   select s.*, no, source_size, target, cast('0x' || left(draw, 8) as bigint) % shards as shard
   from sizes s join goals g on g.source is not distinct from s.source
-), shard_words as (
-  select no, shard, cast(sum(size) as bigint) as words, round(any_value(target) / {block}) as seats from dealt group by no, shard
-), owed as (
-  select *, greatest(floor(seats * words / greatest(sum(words) over (partition by no), 1e-300)) - 1, 0) as given from shard_words
-), rivals as (
-  select *, seats - sum(given) over (partition by no) as open from owed
-), won as (
-  select no, shard, count(*) as won from (
-    select r.*, row_number() over (partition by no order by words / (2 * (given + more) + 1) desc, shard, more) as turn
-    from rivals r, (select unnest(range(0, 4)) as more)
-  ) where turn <= open and words > 0 group by no, shard
-), quotas as (
-  select r.no, r.shard, cast(ceil(words / {block}) as bigint) as blocks,
-         least(cast(given as bigint) + coalesce(won, 0), {passes} * cast(ceil(words / {block}) as bigint)) as quota
-  from rivals r left join won w on w.no = r.no and w.shard = r.shard
+), shards as (
+  select no, shard, cast(sum(size) as bigint) as words, cast(ceil(sum(size) / {block}) as bigint) as blocks,
+         any_value(target) * cast(ceil(sum(size) / {block}) as bigint) / any_value(source_size) as votes,
+         md5('{seed}|' || no || '|' || shard) as key
+  from dealt group by no, shard having sum(size) > 0
+), quotients as (
+  select no, shard, seat, votes / (2 * seat + 1) as quotient
+  from (select *, unnest(range(0, {passes} * blocks)) as seat from shards)
+), seats as (
+  select no, shard, count(*) as quota from (
+    select *, row_number() over (order by quotient desc, no, shard, seat) as turn from quotients
+  ) where turn <= (select round(sum(votes)) from shards) group by no, shard
 ), chosen as (
-  select no, shard, block, quota // blocks + case when turn <= quota % blocks then 1 else 0 end as times from (
-    select *, row_number() over (partition by no, shard order by
-                md5('{seed}|' || no || '|' || shard || '|' || block), block) as turn
-    from (select *, unnest(range(0, blocks)) as block from quotas where blocks > 0)
-  )
+  select no, shard, words, block, block * words // blocks as low, (block + 1) * words // blocks as high,
+         quota // blocks + case when ({steps}[cast('0x' || key[9:12] as bigint) % {len(steps)} + 1] * block
+                                      + cast('0x' || left(key, 8) as bigint) % blocks) % blocks < quota % blocks then 1 else 0 end as times
+  from (select *, unnest(range(0, blocks)) as block from shards join seats using (no, shard))
 ), placed as (
   select *, coalesce(sum(size) over (partition by no, shard order by draw, doc_id, size
                      rows between unbounded preceding and 1 preceding), 0) as pos
   from dealt
 ), taken as (
-  select doc_id, sum((least((c.block + 1) * {block}, pos + size) - greatest(c.block * {block}, pos)) * times) as taken
-  from placed p join chosen c on c.no = p.no and c.shard = p.shard
-       and c.block between p.pos // {block} and (p.pos + p.size - 1) // {block}
+  select doc_id, sum((least(high, pos + size) - greatest(low, pos)) * times) as taken
+  from placed p join chosen c on c.no = p.no and c.shard = p.shard and c.low < pos + size and c.high > pos
   where size > 0 group by doc_id
 )
 select p.doc_id, size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken

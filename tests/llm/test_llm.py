@@ -309,3 +309,33 @@ def test_wrapped_notices(spark):
     found = {r.doc_id: (r.licence, r.n_licences) for r in license_classifier.licences(table).collect()}
     assert {i: found[i] for i in range(len(texts))} == {i: (name, 1) for i, (name, _) in enumerate(texts)}
     assert found[99] == ("mit", 1) and all(found[i][1] == 0 for i, _ in plain)
+
+
+def test_small_sources_get_their_target(spark):
+    """Sources of 10 and 30 words beside large ones: each is taken three times, its blocks counted by their own words."""
+    sizes = {"a": 10, "b": 30, "c": 200_000, "d": 90_000, "e": 65}
+    rows = []
+    for source, n in sizes.items():
+        for at in range(0, n, 997):
+            rows.append((len(rows), " ".join(["w"] * min(997, n - at)), "en", source, 0, 5, 5, 5, "k"))
+    found = mixing.mix(spark.createDataFrame(rows, SCHEMA), shard_words=20_000).collect()
+    source = {r[0]: r[3] for r in rows}
+    taken, target = Counter(), {}
+    for r in found:
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert (taken["a"], taken["b"]) == (30, 90) == (target["a"], target["b"])
+    assert all(abs(taken[s] - target[s]) <= 64 * max(1, n / 20_000) for s, n in sizes.items())
+
+
+def test_apportionment_is_by_highest_quotients(spark):
+    rng = random.Random(8)
+    for seats in (3, 40, 300):
+        votes = [rng.choice([0.2, 0.5, 1.0, rng.random() * 5, rng.random() * seats]) for _ in range(40)]
+        most = [3 * max(1, round(v)) for v in votes]
+        parties = spark.createDataFrame([(0, i, v, m) for i, (v, m) in enumerate(zip(votes, most))], "no int, shard int, votes double, most long")
+        got = {r.shard: r.quota for r in mixing.apportion(parties, ["no", "shard"]).collect()}
+        quotients = sorted((-v / (2 * s + 1), i, s) for i, (v, m) in enumerate(zip(votes, most)) for s in range(m))
+        won = Counter(i for _, i, _ in quotients[: round(sum(votes))])
+        assert got == {i: won[i] for i in range(40)}
