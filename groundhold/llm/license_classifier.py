@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialize, words
+from .common import SPACE, SPACES, materialize, words
 
 # Short public notices, by licence family.
 TEMPLATES = {
@@ -42,6 +42,31 @@ TEMPLATES = {
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "reserved": ["All rights reserved."],
 }
+# What tells a family from its relatives: a paragraph has the first pattern and not the second. Names, versions and modifiers
+# are a word or two among many, which neither a share of words nor a probability weighs as heavily as a reader does.
+_OTHER_VERSION = r"\b(version|v\.?|licen[sc]e|public license,?|international|by|attribution)[ -]?(0|1|2|3)(\.\d+)?\b"
+MARKS = {
+    "apache-2.0": (r"\bapache licen[sc]e\b.{0,12}\b2(\.0)?\b(?!\.\d)", r"\bversion 1\b|\blicen[sc]e,? (v|version )?1\.\d"),
+    "bsd-3-clause": (
+        r"\bbsd\b.{0,12}\b(3|three)[ -]clause\b|\b(3|three)[ -]clause bsd\b|redistribution and use in source and binary forms",
+        r"\b(0|1|2|4|zero|one|two|four)[ -]clause\b",
+    ),
+    "cc-by-4.0": (
+        r"\bcc[ -]by\b.{0,4}\b4\.0\b|\bcreative commons attribution\b.{0,4}\b4\.0\b",
+        rf"non-?commercial|\bby-nc|share-?alike|\bby-sa|no-?deriv|\bby-nd|{_OTHER_VERSION}",
+    ),
+    "cc-by-nc-4.0": (
+        r"\bcc[ -]by-nc\b.{0,4}\b4\.0\b|\bcreative commons attribution[ -]non-?commercial\b.{0,4}\b4\.0\b",
+        rf"share-?alike|\bnc-sa|no-?deriv|\bnc-nd|{_OTHER_VERSION}",
+    ),
+    "gpl-3.0": (
+        r"\bgnu general public licen[sc]e\b.{0,12}\b(version |v)?3\b|free software: you can redistribute",
+        r"\blesser\b|\blibrary general\b|\baffero\b|\bl?gpl-?v?2|\bversion [12]\b|free software; you can",
+    ),
+    "mit": (r"\bmit licen[sc]e\b|permission is hereby granted, free of charge, to any person obtaining", r"\bmit-0\b|no attribution"),
+    "mpl-2.0": (r"\bmozilla public licen[sc]e\b.{0,12}\b2\.0\b", r"\b(version|v\.?) ?1(\.\d)?\b"),
+    "reserved": (r"\ball rights reserved\b", r"\bsome rights reserved\b|\bno rights reserved\b"),
+}
 UNKNOWN = "unknown"
 CONFIRMED = 0.8  # share of a template's words that a paragraph must have
 SAMPLE = 600  # paragraphs of the corpus that the classifier learns from, by smallest hash; a bound for any corpus
@@ -92,7 +117,7 @@ def _labelled(paragraphs: DataFrame) -> DataFrame:
     """
     plain = paragraphs.filter(~_has_anchor(F.col("line")))
     sample = plain.select("line").distinct().orderBy(F.xxhash64("line"), "line").limit(SAMPLE)
-    sample = materialize(sample.select("line", F.slice(words(F.col("line")), 1, 40).alias("w")), "licence-sample")
+    sample = materialize(sample.select("line", words(F.col("line")).alias("w")), "licence-sample")
     notices = F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(label).alias("label"), F.lit(text).alias("text"))
         for i, (label, text) in enumerate((k, t) for k, texts in TEMPLATES.items() for t in texts)
@@ -128,7 +153,7 @@ def train(paragraphs: DataFrame) -> tuple[LogisticRegressionModel, dict[str, flo
     """(model, probability from which each family counts as known, families in the model's order).
 
     The thresholds are calibrated on held-out rows: a family's lies above every probability that it gives to a row of
-    another label, and is one half at least.
+    another label which the comparison with the templates would let pass, and is one half at least.
     """
     names = sorted([UNKNOWN, *TEMPLATES])
     index = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(float(i)))])
@@ -141,9 +166,10 @@ def train(paragraphs: DataFrame) -> tuple[LogisticRegressionModel, dict[str, flo
         return None, {}, names
     model = fit.fit(known)
     held = _predicted(model, rows.filter("held"), names)
-    wrong = held.filter("family <> label").groupBy("family").agg(F.max("probability").alias("p")).collect()  # one per family
+    passed = _confirmed(F.col("family"), F.col("tokens"), F.col("text")) >= CONFIRMED
+    wrong = held.filter(F.col("family") != F.col("label")).filter(passed).groupBy("family").agg(F.max("probability").alias("p")).collect()  # one per family
     above = {r["family"]: float(r["p"]) for r in wrong}
-    return model, {n: max(0.5, min(0.99, above.get(n, 0.0) + 1e-6)) for n in names}, names
+    return model, {n: max(0.5, above.get(n, 0.0) + 1e-6) for n in names}, names
 
 
 def _predicted(model: LogisticRegressionModel, rows: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -154,15 +180,18 @@ def _predicted(model: LogisticRegressionModel, rows: DataFrame, names: Sequence[
     return found.withColumn("family", best).withColumn("probability", F.array_max("p")).drop("p", "rawPrediction", "prediction")
 
 
-def _confirmed(family: Column, tokens: Column) -> Column:
-    """The largest share of the words of a template of the family that the paragraph has."""
-    share = F.lit(0.0)
+def _confirmed(family: Column, tokens: Column, text: Column) -> Column:
+    """The largest share of the words of a template of the family that the paragraph has; 0 without the family's marks."""
+    share, plain = F.lit(0.0), F.lower(F.regexp_replace(text, SPACES, " "))
+    marked = F.lit(False)
+    for name, (own, foreign) in MARKS.items():
+        marked = marked | ((family == name) & plain.rlike(own) & ~plain.rlike(foreign))
     for name, texts in TEMPLATES.items():
         for text in texts:
             own = sorted(set(_plain(text)))
             common = F.size(F.array_intersect(tokens, F.array(*map(F.lit, own)))) / len(own)
             share = F.greatest(share, F.when(family == name, common).otherwise(0.0))
-    return share
+    return F.when(marked, share).otherwise(0.0)
 
 
 #: Words of a stretch of lines, at least, unless its block of lines ends before: twice those of the longest template.
@@ -214,7 +243,8 @@ def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     others can only be unknown and are not scored. Notices that are wrapped over lines are found in stretches of lines that
     follow each other, scored besides the single lines; a stretch counts where none of its lines is a licence of the same
     family, and once where several overlap. n_candidates counts lines. A candidate is a licence if the classifier's best family reaches its
-    threshold and the paragraph has ``CONFIRMED`` of the words of one of the family's templates. licence is the family of
+    threshold and the paragraph has ``CONFIRMED`` of the words of one of the family's templates and its ``MARKS``: the name,
+    version and modifiers of the family and of none of its relatives. licence is the family of
     the most probable one, the first of equals, or null; families lists all, sorted.
 
     Null, empty and blank texts have no paragraphs. Rows that repeat are scanned each. A corpus without paragraphs trains no
@@ -241,7 +271,7 @@ def licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         scored = _predicted(model, _features(candidates), names)
         least = F.element_at(F.create_map(*[x for n in names for x in (F.lit(n), F.lit(thresholds[n]))]), F.col("family"))
         sure = (F.col("family") != UNKNOWN) & (F.col("probability") >= least)
-        verdicts = scored.filter(sure & (_confirmed(F.col("family"), F.col("tokens")) >= CONFIRMED)).select(
+        verdicts = scored.filter(sure & (_confirmed(F.col("family"), F.col("tokens"), F.col("text")) >= CONFIRMED)).select(
             "row", "first", "last", "probability", "family"
         )
     per = _apart(verdicts).groupBy("row").agg(

@@ -339,3 +339,47 @@ def test_apportionment_is_by_highest_quotients(spark):
         quotients = sorted((-v / (2 * s + 1), i, s) for i, (v, m) in enumerate(zip(votes, most)) for s in range(m))
         won = Counter(i for _, i, _ in quotients[: round(sum(votes))])
         assert got == {i: won[i] for i in range(40)}
+
+
+FOREIGN = [
+    "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "This work is licensed under the GNU General Public License, version 2.",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+    "Licensed under the Apache License, Version 1.1.",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.",
+    "Licensed under the BSD 2-Clause License.",
+    "Released under the MPL License.",
+    "Released under the ISC License.",
+    "Licensed under CC BY 3.0.",
+    "This work is licensed under a Creative Commons Attribution 3.0 International License.",
+    "Licensed under CC BY-SA 4.0.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "Licensed under CC BY-NC-ND 4.0.",
+    "This program is free to read: you can look at it and think about it in the terms of a general reader",
+]
+OWN = {
+    "apache-2.0": ["licensed under the apache license, version 2.0", "// Licensed under the Apache License, Version 2.0 (see LICENSE)."],
+    "bsd-3-clause": ["Licensed under the BSD 3-Clause License!"],
+    "cc-by-4.0": ["Text licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International Licence."],
+    "cc-by-nc-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "gpl-3.0": ["This work is licensed under the GNU General Public License,  version 3.", "This program is free software: you can redistribute it "
+                "and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"],
+    "mit": ["Released under the MIT License."],
+    "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "reserved": ["All rights reserved."],
+}
+
+
+def test_relatives_of_the_families_are_unknown(spark):
+    """Precision and recall per family: notices of families that the classifier was never shown, and of its own."""
+    prose = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").orderBy("doc_id").limit(60).select("text").collect()
+    rows = [(i, t) for i, t in enumerate(FOREIGN)] + [(100 + i, t) for i, t in enumerate(t for texts in OWN.values() for t in texts)]
+    names = [name for name, texts in OWN.items() for _ in texts]
+    table = docs(spark, rows + [(1000 + i, r.text) for i, r in enumerate(prose)])
+    found = {r.doc_id: r.licence for r in license_classifier.licences(table).filter("doc_id < 1000").collect()}
+    wrong = {FOREIGN[i]: found[i] for i in range(len(FOREIGN)) if found[i] is not None}
+    assert not wrong
+    assert {i: found[100 + i] for i in range(len(names))} == dict(enumerate(names))
