@@ -481,7 +481,7 @@ def cascade_chain(
     weight = F.when(F.col("cascade_level") == 0, F.lit(1)).otherwise(F.col("late_inbound"))
     levels = weighed.select("hub", "flightdate", "cascade_level", "flight_num", "going_to", "minutes", weight.alias("weight")).filter("weight is not null")
     if hubs and dates:
-        asked = [(hub, date, 0, None, None, None, 0)]
+        asked = [(hub, date, 0, None, hub, None, 0)]
         schema = "hub string, flightdate string, cascade_level int, flight_num int, going_to string, minutes double, weight bigint"
         levels = levels.unionByName(flights.sparkSession.createDataFrame(asked, schema))
     affected = F.countDistinct("flight_num")

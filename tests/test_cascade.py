@@ -235,7 +235,7 @@ def test_chain(make_flights):
     assert tuple(zero)[2:] == (0, 3, 1, 40.0, 30.0, 50.0, 3 * 160 * 0.87)
     assert tuple(one)[2:6] == (1, 3, 2, 20.0)  # (10*2 + 20*2 + 40) / 5
     (empty,) = cascade_chain(make_flights(rows), hub="XXX").collect()
-    assert (empty.cascade_level, empty.flights_affected, empty.avg_delay_propagated) == (0, 0, None)
+    assert (empty.cascade_level, empty.flights_affected, empty.destinations_affected, empty.avg_delay_propagated) == (0, 0, 1, None)
 
 
 def test_estimate_rounds_halves_up(spark):
