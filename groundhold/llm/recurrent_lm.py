@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,9 @@ CLASSES, CLASS_WORDS = 32, 32  # classes of frequent words, words in each
 RARE = 32  # classes of all other words
 DICTIONARY = 200_000  # most frequent words that every task holds with their counts; the counts of others are joined
 WINDOW = 16  # steps of backpropagation
-LANES = 64  # texts that are trained on side by side
+LANES = 256  # texts that are trained on side by side
 SCORE_LANES, SCORE_WINDOW, SCORE_DOCS = 512, 32, 5_000
-CHUNK = 1_024  # rows worked out at once, and weights that travel in one row
+CHUNK = 4_096  # rows worked out at once, and weights that travel in one row
 RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"  # stands for the end; no word holds white space
@@ -88,7 +89,7 @@ class Vocabulary:
     def units(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(unit of each word, place in the dictionary or -1, the words that are not in it)."""
         get = self.index.get
-        place = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+        place = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         unit = self.unit[place] if len(self.unit) else np.zeros(len(words), np.int32)
         unknown = np.flatnonzero(place < 0).tolist()
         strange = [words[i] for i in unknown]
@@ -98,7 +99,8 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    top = counts.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
+    # The end comes first, however many words are more frequent.
+    top = counts.orderBy(F.col("word") != F.lit(bytearray(END)), F.desc("n"), "word").limit(DICTIONARY).collect()
     heads = [bytes(r["word"]) for r in top[: CLASSES * CLASS_WORDS]]
     spark = counts.sparkSession
     head = spark.createDataFrame([(bytearray(w),) for w in heads] or [(bytearray(b""),)], "word binary")
@@ -136,20 +138,33 @@ class Model:
             mass = np.concatenate((n.sum(1), prior.rare_tokens + 1))
             self.class_bias[:] = np.log(mass / mass.sum())
 
-    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
-        """Hidden states (steps, lanes, HIDDEN) for inputs (steps, lanes), from h; ``fresh`` marks where texts begin."""
-        n, out, pre = HIDDEN, np.empty((*x.shape, HIDDEN), np.float32), self.gates[x]
+    def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep: dict | None = None) -> np.ndarray:
+        """Hidden states (steps, lanes, HIDDEN) for inputs (steps, lanes), from h; ``fresh`` marks where texts begin.
+
+        ``keep`` takes what the way back needs, each (steps, lanes, ...).
+        """
+        n, pre = HIDDEN, self.gates[x]
+        out = np.empty((*x.shape, n), pre.dtype)
+        if keep is not None:
+            keep.update(before=np.empty_like(out), gate=np.empty((*x.shape, 2 * n), pre.dtype), new=np.empty_like(out), back=np.empty_like(out))
+        some = fresh.any(1)
         for t in range(len(x)):
-            if fresh[t].any():
-                h = np.where(fresh[t][:, None], np.float32(0), h)
+            if some[t]:
+                h = np.where(fresh[t][:, None], pre.dtype.type(0), h)
             back = h @ self.back
-            gate = 1 / (1 + np.exp(-(pre[t, :, : 2 * n] + back[:, : 2 * n])))
-            z, r = gate[:, :n], gate[:, n:]
-            new = np.tanh(pre[t, :, 2 * n :] + r * back[:, 2 * n :])
+            gate = pre[t, :, : 2 * n] + back[:, : 2 * n]
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            new = gate[:, n:] * back[:, 2 * n :]
+            new += pre[t, :, 2 * n :]
+            np.tanh(new, out=new)
             if keep is not None:
-                keep.append((h, z, r, new, back[:, 2 * n :]))
-            h = new + z * (h - new)
-            out[t] = h
+                keep["before"][t], keep["gate"][t], keep["new"][t], keep["back"][t] = h, gate, new, back[:, 2 * n :]
+            h = np.subtract(h, new, out=out[t])
+            h *= gate[:, :n]
+            h += new
         return out
 
     def _by_class(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -180,59 +195,80 @@ class Model:
 
     def gradient(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple:
         """(gradient of the mean loss over a window, last states); nothing flows past the window's start."""
-        kept: list = []
+        kept: dict = {}
         states = self.states(x, fresh, h, kept)
         grad = Model(np.zeros_like(self.flat))
         order, of, word, cuts = self._by_class(y[live])
-        rows, n = states[live][order], cuts[-1]
+        at = np.flatnonzero(live)[order]
+        rows, n = states.reshape(-1, HIDDEN)[at], cuts[-1]
         scale = states.dtype.type(1 / max(1, len(of)))
         wrong = _softmax(rows @ self.to_class + self.class_bias)
         wrong[np.arange(len(of)), of] -= 1
         wrong *= scale
         grad.to_class += rows.T @ wrong
         grad.class_bias += wrong.sum(0)
-        sorted_down = wrong @ self.to_class.T
+        down = wrong @ self.to_class.T
         wrong = _softmax(self._word_logits(rows, cuts))
         wrong[np.arange(n), word[:n]] -= 1
         wrong *= scale
         for c in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[c], cuts[c + 1])
-            grad.to_word[c] += rows[own].T @ wrong[own]
-            grad.word_bias[c] += wrong[own].sum(0)
-            sorted_down[own] += wrong[own] @ self.to_word[c].T
-        down = np.empty_like(sorted_down)
-        down[order] = sorted_down
+            np.matmul(rows[own].T, wrong[own], out=grad.to_word[c])
+            wrong[own].sum(0, out=grad.word_bias[c])
+            down[own] += wrong[own] @ self.to_word[c].T
         flow = np.zeros_like(states)
-        flow[live] = down
-        following, gates = np.zeros_like(h), np.zeros((*x.shape, 3 * HIDDEN), np.float32)
+        flow.reshape(-1, HIDDEN)[at] = down
+        # What a step's loss is multiplied by on its way into each gate is worked out for the whole window at once.
+        z, r, new = kept["gate"][..., :HIDDEN], kept["gate"][..., HIDDEN:], kept["new"]
+        to_new = (1 - z) * (1 - new * new)
+        to_z = (kept["before"] - new) * z * (1 - z)
+        to_r = kept["back"] * r * (1 - r)
+        following, into_back = np.zeros_like(h), np.empty((*x.shape, 3 * HIDDEN), states.dtype)
+        into_new, some = np.empty_like(states), fresh.any(1)
         for t in reversed(range(len(x))):
-            before, z, r, new, back = kept[t]
-            total = flow[t] + following
-            into_new = total * (1 - z) * (1 - new * new)
-            into_z = total * (before - new) * z * (1 - z)
-            into_r = into_new * back * r * (1 - r)
-            gates[t] = np.concatenate((into_z, into_r, into_new), 1)
-            into_back = np.concatenate((into_z, into_r, into_new * r), 1)
-            grad.back += before.T @ into_back
-            following = total * z + into_back @ self.back.T
-            following[fresh[t]] = 0
-        order = np.argsort(x, axis=None, kind="stable")
+            total = flow[t]
+            total += following
+            np.multiply(total, to_new[t], out=into_new[t])
+            np.multiply(total, to_z[t], out=into_back[t, :, :HIDDEN])
+            np.multiply(into_new[t], to_r[t], out=into_back[t, :, HIDDEN : 2 * HIDDEN])
+            np.multiply(into_new[t], r[t], out=into_back[t, :, 2 * HIDDEN :])
+            following = into_back[t] @ self.back.T
+            following += total * z[t]
+            if some[t]:
+                following[fresh[t]] = 0
+        grad.back += kept["before"].reshape(-1, HIDDEN).T @ into_back.reshape(-1, 3 * HIDDEN)
+        gates = into_back
+        gates[..., 2 * HIDDEN :] = into_new
+        order = np.argsort(x.ravel().astype(np.int16), kind="stable")  # units are few
         units = x.ravel()[order]
         firsts = np.flatnonzero(np.diff(units, prepend=-1))
         grad.gates[units[firsts]] = np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], firsts)
         return grad.flat, states[-1]
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials, their sums by row); rows are shifted in place by their maxima, but only where they would leave the range."""
+    ones = np.ones(logits.shape[1], logits.dtype)
+    if logits.size and logits.max() < 60:
+        out = np.exp(logits)
+        sums = out @ ones
+        if sums.min() > 1e-30:
+            return out, sums
+    logits -= logits.max(1, keepdims=True)
+    out = np.exp(logits)
+    return out, out @ ones
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    out = np.exp(logits - logits.max(1, keepdims=True))
-    out /= out.sum(1, keepdims=True)
+    out, sums = _exponentials(logits)
+    out /= sums[:, None]
     return out
 
 
 def _picked(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The logarithm of one softmax value per row."""
-    logits -= logits.max(1, keepdims=True)
-    return logits[np.arange(len(which)), which] - np.log(np.exp(logits).sum(1))
+    _, sums = _exponentials(logits)
+    return logits[np.arange(len(which)), which] - np.log(sums)
 
 
 def lanes(texts: list[np.ndarray], count: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -295,13 +331,12 @@ def _train(training: DataFrame, model: Model, shared) -> Model:
             columns = [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.float64())), pa.array([seen] * len(parts))]
             yield pa.RecordBatch.from_arrays(columns, ["part", "value", "seen"])
 
-    def mean(copies: pa.Table) -> pa.Table:
-        values = sum(v.values.to_numpy() for v in copies["value"]) / sum(copies["seen"].to_pylist())
-        return pa.table({"part": copies["part"][:1], "value": pa.array([values], pa.list_(pa.float64()))})
-
     copies = training.select("text").mapInArrow(train, "part int, value array<double>, seen long")
-    means = copies.groupBy("part").applyInArrow(mean, "part int, value array<double>")
-    got = means.orderBy("part").collect()  # the weights of one model
+    # Sums by place are added up before and after the shuffle, so no task holds the copies of all tasks.
+    places = copies.select("part", "seen", F.posexplode("value").alias("place", "value"))
+    means = places.groupBy("part", "place").agg((F.sum("value") / F.sum("seen")).alias("value"))
+    got = means.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("place", "value")))["value"].alias("value"))
+    got = got.orderBy("part").collect()  # the weights of one model
     start.unpersist()
     if not got:
         return model
