@@ -22,17 +22,24 @@ RARE = 32  # classes of all other words
 DICTIONARY = 200_000  # most frequent words that every task holds with their counts; the counts of others are joined
 WINDOW = 16  # steps of backpropagation
 LANES = 256  # texts that are trained on side by side
-SCORE_LANES, SCORE_WINDOW, SCORE_DOCS = 512, 32, 5_000
+SCORE_LANES, SCORE_WINDOW, DOCS = 256, 32, 5_000
 CHUNK = 4_096  # rows worked out at once, and weights that travel in one row
 RATE = 0.01
 FOLDS, HELD_OUT = 7, 2
+UNIT = np.dtype("<u2")  # of CLASSES * CLASS_WORDS + RARE
 END = b"\n"  # stands for the end; no word holds white space
 FLUSH = 400_000
 
 COUNT_SCHEMA = "word binary, n long"
-SCORE_SCHEMA = (
-    "row long, id long, n_tokens long, known long, counts double, score double, words array<binary>, times array<long>"
+CODED_SCHEMA = (
+    "row long, id long, fold long, n_tokens long, known long, counts double, score double, units binary, "
+    "words array<binary>, times array<long>"
 )
+SCORE_SCHEMA = "row long, id long, n_tokens long, known long, counts double, score double"
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split(" ")[0] for part in schema.split(", ")]
 
 
 def fold(id_col: str) -> Column:
@@ -299,18 +306,54 @@ def lanes(texts: list[np.ndarray], count: int, end: int) -> tuple[np.ndarray, np
     return x, y, fresh, of
 
 
-def _train(training: DataFrame, model: Model, shared) -> Model:
-    """One pass over every text of ``training``: each task trains a copy on its own, and the copies are averaged by the
-    tokens they saw."""
+def _code(rows: DataFrame, shared) -> DataFrame:
+    """The units of each text, and what its score owes to the counts of the dictionary's words; ``words`` are the others.
+
+    Texts are taken apart once here; training and scoring read two bytes a word and need no dictionary.
+    """
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_ = shared.value
+        for whole in batches:
+            for start in range(0, len(whole), DOCS):
+                batch = whole.slice(start, DOCS)
+                n = len(batch)
+                units, tails, length = [], [], np.zeros(n, np.int64)
+                known, counts, extra = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+                for i, text in enumerate(batch["text"]):
+                    unit, place, strange = words_.units(tokens(text.as_py()))
+                    length[i] = len(unit) + 1
+                    found = place[place >= 0] if strange else place
+                    known[i] = len(found)
+                    counts[i] = words_.log_counts[found].sum() if len(found) else 0
+                    rare = found[found >= words_.heads]
+                    extra[i] = words_.log_counts[rare].sum() if len(rare) else 0
+                    extra[i] -= words_.log_rare[unit[unit >= words_.heads] - words_.heads].sum()
+                    units.append(unit.astype(UNIT).tobytes())
+                    tails.append(Counter(strange))
+                if END in words_.index:
+                    counts += words_.log_counts[words_.index[END]]
+                    known += 1
+                columns = [
+                    batch["row"], batch["id"], batch["fold"], pa.array(length), pa.array(known), pa.array(counts), pa.array(extra),
+                    pa.array(units, pa.binary()), pa.array([list(t) for t in tails], pa.list_(pa.binary())),
+                    pa.array([list(t.values()) for t in tails], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, _names(CODED_SCHEMA))
+
+    return rows.select(F.col("__row").alias("row"), "id", "fold", "text").mapInArrow(code, CODED_SCHEMA)
+
+
+def _train(training: DataFrame, model: Model, end: int) -> Model:
+    """One pass over the units of every text of ``training``: each task trains a copy on its own, and the copies are averaged
+    by the tokens they saw."""
     start = training.sparkSession.sparkContext.broadcast(model.flat)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, words_ = Model(start.value.copy()), shared.value
-        end = int(words_.unit[words_.index[END]])
+        own = Model(start.value.copy())
         first, second, step, seen = np.zeros_like(own.flat), np.zeros_like(own.flat), 0, 0
         for batch in batches:
-            texts = [words_.units(tokens(t.as_py()))[0] for t in batch["text"]]
-            x, y, fresh, of = lanes(texts, LANES, end)
+            x, y, fresh, of = lanes([np.frombuffer(u.as_buffer(), UNIT) for u in batch["units"]], LANES, end)
             h = np.zeros((x.shape[1], HIDDEN), np.float32)
             for low in range(0, len(x), WINDOW):
                 part = slice(low, low + WINDOW)
@@ -331,7 +374,7 @@ def _train(training: DataFrame, model: Model, shared) -> Model:
             columns = [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.list_(pa.float64())), pa.array([seen] * len(parts))]
             yield pa.RecordBatch.from_arrays(columns, ["part", "value", "seen"])
 
-    copies = training.select("text").mapInArrow(train, "part int, value array<double>, seen long")
+    copies = training.select("units").mapInArrow(train, "part int, value array<double>, seen long")
     # Sums by place are added up before and after the shuffle, so no task holds the copies of all tasks.
     places = copies.select("part", "seen", F.posexplode("value").alias("place", "value"))
     means = places.groupBy("part", "place").agg((F.sum("value") / F.sum("seen")).alias("value"))
@@ -343,27 +386,16 @@ def _train(training: DataFrame, model: Model, shared) -> Model:
     return Model(np.concatenate([r["value"] for r in got]).astype(np.float32))
 
 
-def _score(rows: DataFrame, shared, weights) -> DataFrame:
+def _score(coded: DataFrame, weights, end: int) -> DataFrame:
+    """``coded`` with the logarithms of the model's probabilities added to its score, without units and words."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_, model = shared.value, Model(weights.value)
-        end = int(words_.unit[words_.index[END]]) if END in words_.index else 0
+        model = Model(weights.value)
         for whole in batches:
-            for start in range(0, len(whole), SCORE_DOCS):
-                batch = whole.slice(start, SCORE_DOCS)
+            for start in range(0, len(whole), DOCS):
+                batch = whole.slice(start, DOCS)
                 n = len(batch)
-                texts, counts, known, extra, tails = [], np.zeros(n), np.zeros(n, np.int64), np.zeros(n), []
-                for i, text in enumerate(batch["text"]):
-                    unit, place, strange = words_.units(tokens(text.as_py()))
-                    texts.append(unit)
-                    found = place[place >= 0]
-                    known[i] = len(found)
-                    counts[i] = words_.log_counts[found].sum() if len(found) else 0
-                    rare = found[found >= words_.heads]
-                    extra[i] = words_.log_counts[rare].sum() if len(rare) else 0
-                    far = unit[unit >= words_.heads] - words_.heads
-                    extra[i] -= words_.log_rare[far].sum()
-                    tails.append(Counter(strange))
-                x, y, fresh, of = lanes(texts, SCORE_LANES, end)
+                x, y, fresh, of = lanes([np.frombuffer(u.as_buffer(), UNIT) for u in batch["units"]], SCORE_LANES, end)
                 total, h = np.zeros(n), np.zeros((x.shape[1], HIDDEN), np.float32)
                 for low in range(0, len(x), SCORE_WINDOW):
                     part = slice(low, low + SCORE_WINDOW)
@@ -374,19 +406,11 @@ def _score(rows: DataFrame, shared, weights) -> DataFrame:
                     h = states[-1]
                     found = model.log_probabilities(states[live], y[part, :active][live])
                     total += np.bincount(of[part, :active][live], found, n)
-                if END in words_.index:
-                    counts += words_.log_counts[words_.index[END]]
-                    known += 1
-                columns = [
-                    batch["row"], batch["id"], pa.array(np.array([len(t) + 1 for t in texts], np.int64)), pa.array(known),
-                    pa.array(counts), pa.array(total / np.log(10) + extra),
-                    pa.array([list(t) for t in tails], pa.list_(pa.binary())),
-                    pa.array([list(t.values()) for t in tails], pa.list_(pa.int64())),
-                ]
-                names = [part.split(" ")[0] for part in SCORE_SCHEMA.split(", ")]
+                names = _names(SCORE_SCHEMA)
+                columns = [batch[name] for name in names[:-1]] + [pa.array(total / np.log(10) + batch["score"].to_numpy())]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.select(F.col("__row").alias("row"), "id", "text").mapInArrow(score, SCORE_SCHEMA)
+    return coded.select(*_names(SCORE_SCHEMA), "units").mapInArrow(score, SCORE_SCHEMA)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -409,19 +433,20 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     words_ = vocabulary(counts)
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(words_)
-    model = Model(prior=words_)
+    coded = materialize(_code(rows, context.broadcast(words_)), "lm-units")
+    model, end = Model(prior=words_), 0
     if END in words_.index:
-        model = _train(training, model, shared)
-    found = materialize(_score(rows, shared, context.broadcast(model.flat)), "lm-scores")
+        end = int(words_.unit[words_.index[END]])
+        model = _train(coded.filter(f"fold % {FOLDS} <> {HELD_OUT}"), model, end)
+    found = _score(coded, context.broadcast(model.flat), end)
 
     pairs = F.explode(F.arrays_zip("words", "times")).alias("p")
-    strange = found.select("row", pairs).select("row", F.col("p.words").alias("word"), F.col("p.times").alias("times"))
+    strange = coded.select("row", pairs).select("row", F.col("p.words").alias("word"), F.col("p.times").alias("times"))
     joined = strange.join(counts.hint("merge"), "word")
     rest = joined.groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"), F.sum("times").alias("seen")
     )
-    slim = found.drop("words", "times").join(rest.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left")
+    slim = found.join(rest.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left")
     more = F.coalesce("more", F.lit(0.0))
     size = float(np.log10(sums["n"] + sums["v"] + 1))
     return slim.select(
