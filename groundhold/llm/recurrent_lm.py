@@ -365,7 +365,8 @@ def _train(training: DataFrame, model: Model, end: int) -> Model:
                 step += 1
                 first += 0.1 * (grad - first)
                 second += 0.01 * (grad * grad - second)
-                rate = RATE * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+                # A window that few lanes reach, as in the longest texts, moves the weights by its share of a full one.
+                rate = RATE * live.sum() / (LANES * WINDOW) * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
                 own.flat -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
                 seen += int(live.sum())
         if seen:

@@ -1,5 +1,6 @@
 """Every operator on awkward rows, and against brute force where SQL cannot say it."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -383,3 +384,58 @@ def test_relatives_of_the_families_are_unknown(spark):
     wrong = {FOREIGN[i]: found[i] for i in range(len(FOREIGN)) if found[i] is not None}
     assert not wrong
     assert {i: found[100 + i] for i in range(len(names))} == dict(enumerate(names))
+
+
+def test_language_model_against_plain_loops(spark):
+    """The base scores against plain counts, the model's against one step at a time with whole sums over all words of a class."""
+    rng = random.Random(11)
+    words = [f"w{int(rng.paretovariate(0.35))}" for _ in range(9000)]
+    rows = [(i, " ".join(words[at : at + 60 * (i % 3)])) for i, at in enumerate(range(0, 9000, 60))] + [(150, None), (151, "New Words new")]
+    table = docs(spark, rows)
+    found = {r.doc_id: r for r in recurrent_lm.score_documents(table).collect()}
+    texts = {i: (t or "").lower().split() + ["\n"] for i, t in rows}
+    held = {i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2}
+    counts = Counter(w for i, t in texts.items() if i not in held for w in t)
+    n, v = sum(counts.values()), len(counts)
+    assert v > 1100 and held == {i for i, r in found.items() if r.held_out}
+    for i, text in texts.items():
+        base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in text)
+        row = (found[i].n_tokens, found[i].n_known, found[i].train_tokens)
+        assert row == (len(text), sum(counts[w] > 0 for w in text), n) and abs(found[i].base_score - base) < 1e-8
+        assert math.isfinite(found[i].score) and found[i].score < 0
+
+    numbered = table.select(F.col("doc_id").alias("__row"), F.col("doc_id").alias("id"), "text", recurrent_lm.fold("doc_id").alias("fold"))
+    frame = recurrent_lm.word_counts(numbered.filter("fold % 7 <> 2"))
+    vocabulary = recurrent_lm.vocabulary(frame)
+    flat = np.random.default_rng(3).standard_normal(recurrent_lm.Model().flat.size).astype(np.float32) * np.float32(0.5)
+    model, end = recurrent_lm.Model(flat), int(vocabulary.unit[vocabulary.index[recurrent_lm.END]])
+    context, h_ = spark.sparkContext, recurrent_lm.HIDDEN
+    coded = recurrent_lm._code(numbered, context.broadcast(vocabulary))
+    scores = {r.id: r.score for r in recurrent_lm._score(coded, context.broadcast(flat), end).collect()}
+    heads, m = vocabulary.heads, {k: getattr(model, k).astype(float) for k in model.names}
+    for i in (4, 5, 17, 150, 151):
+        h, before, total = np.zeros(h_), end, 0.0
+        for word in texts[i]:
+            pre, back = m["gates"][before], h @ m["back"]
+            z, r = (1 / (1 + np.exp(-(pre[k * h_ : (k + 1) * h_] + back[k * h_ : (k + 1) * h_]))) for k in (0, 1))
+            new = np.tanh(pre[2 * h_ :] + r * back[2 * h_ :])
+            h = z * h + (1 - z) * new
+            of_class = np.exp(h @ m["to_class"] + m["class_bias"])
+            of_class /= of_class.sum()
+            place = vocabulary.index.get(word.encode(), -1)
+            if 0 <= place < heads:
+                c, before = place // recurrent_lm.CLASS_WORDS, place
+                inside = np.exp(h @ m["to_word"][c] + m["word_bias"][c])
+                total += math.log10(of_class[c] * inside[place % recurrent_lm.CLASS_WORDS] / inside.sum())
+            else:
+                c = recurrent_lm.rare_class(word.encode())
+                before = heads + c
+                size = vocabulary.rare_tokens[c] + vocabulary.rare_words[c] + 1
+                total += math.log10(of_class[recurrent_lm.CLASSES + c] * (counts[word] + 1) / size)
+        assert abs(scores[i] - total) < 1e-3 * len(texts[i])
+
+
+def test_held_out_scores_are_above_the_base(spark):
+    found = queries.op1_recurrent_lm(spark, "/root/testdata/sf0.01").filter("held_out")
+    row = found.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+    assert row[0] > row[1] + 0.15
