@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import materialize, numbered
@@ -105,13 +104,18 @@ def _first_runs(docs: DataFrame, text_col: str, settings: tuple) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, text_col: str, settings: tuple) -> DataFrame:
-    """(row, places): the sentences at which a run begins that is not the first of its kind; ``docs`` has __row."""
-    found = _first_runs(docs, text_col, settings)
-    rank = F.rank().over(W.partitionBy("h1", "h2").orderBy("row", "at"))
-    later = found.withColumn("rank", rank).filter("rank > 1 or size(rest) > 0")
-    own = F.when(F.col("rank") > 1, F.array(F.struct("row", "at"))).otherwise(F.array().cast("array<struct<row:long,at:int>>"))
-    places = later.select(F.explode(F.concat(own, "rest")).alias("p")).select("p.row", "p.at")
-    return places.groupBy("row").agg(F.collect_set("at").alias("places"))
+    """(row, places): the sentences at which a run begins that is not the first of its kind; ``docs`` has __row.
+
+    The others of a batch are later ones whatever other batches hold, so they never meet by hash. The first of each batch are
+    compared with the smallest row of their kind, a minimum that tasks work out before the shuffle. A row is in one batch, so
+    the first ones of a kind differ by row.
+    """
+    found = materialize(_first_runs(docs, text_col, settings), "sentence-runs")
+    firsts = found.select("h1", "h2", "row", "at")
+    smallest = firsts.groupBy("h1", "h2").agg(F.min("row").alias("least"), F.count("*").alias("batches")).filter("batches > 1")
+    later = firsts.join(smallest, ["h1", "h2"]).filter("row > least").select("row", "at")
+    others = found.filter("size(rest) > 0").select(F.explode("rest").alias("p")).select("p.row", "p.at")
+    return later.union(others).groupBy("row").agg(F.collect_set("at").alias("places"))
 
 
 CUT_SCHEMA = "id long, n_sentences long, n_removed long, removed_words long, text string"
