@@ -13,23 +13,27 @@ ENCODING = "ISO-8859-1"
 MARK = "\ufeff|ï»¿"  # a byte order mark, as UTF-8 and as read in the files' encoding
 # The table of headers has a row per file; it is broadcast only when it was counted and has at most this many.
 BROADCAST_FILES = 50_000
+# Up to so many layouts, a row carries the number of its layout; beyond, the places of its file.
+MOST_LAYOUTS = 16
 
 
 def csv_headers(spark: SparkSession, csv_dir: str) -> DataFrame:
-    """file, names (trimmed, lower case), places (of the kept columns, -1 for those the file lacks): a row per file with a line.
+    """file, read_as, names (trimmed, lower case), places (of the kept columns, -1 for those the file lacks): a row per file with a line.
+
+    ``read_as`` is the file as ``input_file_name`` writes it, which costs a row less than its metadata.
 
     Found by a scan of the lines that parses nothing and combines to one row per file before the shuffle. Materialized.
     """
     lines = spark.read.text(csv_dir).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
-    lines = lines.withColumn("at", F.monotonically_increasing_id()).filter("start = 0")
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+        F.input_file_name().alias("read_as"), F.input_file_block_start().alias("start"), "value", F.monotonically_increasing_id().alias("at")
+    ).filter("start = 0")
+    first = lines.groupBy("read_as").agg(F.min_by("value", "at").alias("line"))
     names = F.split(F.regexp_replace("line", f"^(?:{MARK})", ""), ",")
     names = F.transform(names, lambda name: F.lower(F.trim(F.btrim(F.trim(name), F.lit('"')))))
     places = [(F.array_position("names", name) - 1).cast("int") for name in RAW_FLIGHTS.names]
     path = scratch_path(spark, "csv-headers")
-    first.select("file", names.alias("names")).withColumn("places", F.array(*places)).write.parquet(path)
+    file = F.regexp_replace("read_as", "^([^:/]+):///", "$1:/")
+    first.select(file.alias("file"), "read_as", names.alias("names")).withColumn("places", F.array(*places)).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -44,21 +48,29 @@ def _read_text(spark: SparkSession, csv_dir: str) -> DataFrame:
     files, widest, *places = headers.agg(F.count(F.lit(1)), F.max(F.size("names")), *kinds).first()
     if not files:
         raise ValueError(f"no rows in {csv_dir}")
-    # One scan reads every place that some file keeps; a row picks its own by the places of its file.
+    # One scan reads every place that some file keeps; a row picks its own by the layout of its file, one number per row.
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(widest)])
     rows = spark.read.schema(schema).option("encoding", ENCODING).option("mode", "PERMISSIVE").csv(csv_dir)
     used = sorted({place for found in places for place in found if place >= 0})
-    rows = rows.select(F.col("_metadata.file_path").alias("of"), *[f"c{i}" for i in used])
-    known = headers.select("file", *[F.get("places", F.lit(i)).alias(f"at_{name}") for i, name in enumerate(RAW_FLIGHTS.names)])
-    joined = rows.join(F.broadcast(known) if files <= BROADCAST_FILES else known, F.col("of") == F.col("file"))
-
-    def value(name: str, found: list[int]) -> str:
+    rows = rows.select(F.input_file_name().alias("of"), *[f"c{i}" for i in used])
+    layouts = headers.select("places").distinct().limit(MOST_LAYOUTS + 1).collect()
+    if len(layouts) <= MOST_LAYOUTS:
+        numbers = [F.when(F.col("places") == F.lit(r.places), F.lit(i)) for i, r in enumerate(layouts)]
+        known = headers.select("file", "read_as", F.coalesce(*numbers).alias("layout"))
+    else:
+        known = headers.select("file", "read_as", *[F.get("places", F.lit(i)).alias(f"at_{name}") for i, name in enumerate(RAW_FLIGHTS.names)])
+    joined = rows.join(F.broadcast(known) if files <= BROADCAST_FILES else known, F.col("of") == F.col("read_as"))
+
+    def value(i: int, name: str, found: list[int]) -> str:
         there = sorted(place for place in found if place >= 0)
         if len(found) == 1:  # all files agree
             return f"c{there[0]} as {name}" if there else f"cast(null as string) as {name}"
-        return f"case at_{name} {' '.join(f'when {place} then c{place}' for place in there)} end as {name}"
+        by, at = f"at_{name}", [(place, place) for place in there]
+        if len(layouts) <= MOST_LAYOUTS:
+            by, at = "layout", [(k, r.places[i]) for k, r in enumerate(layouts) if r.places[i] >= 0]
+        return f"case {by} {' '.join(f'when {k} then c{place}' for k, place in at)} end as {name}"
 
-    text = joined.selectExpr("file", *map(value, RAW_FLIGHTS.names, places))
+    text = joined.selectExpr("file", *[value(i, name, found) for i, (name, found) in enumerate(zip(RAW_FLIGHTS.names, places))])
     return text.filter(F.lower(F.trim(F.coalesce("flightdate", F.lit("")))) != "flightdate")
 
 

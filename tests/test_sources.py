@@ -68,6 +68,23 @@ def test_csv_files_split_into_blocks(spark, tmp_path):
     ]
 
 
+def test_csv_rows_carry_one_number_of_their_layout(spark, tmp_path):
+    """No 37 places per row; many layouts still match, and files keep their names in the report."""
+    for k, header in enumerate(("FlightDate,Distance", "Distance,FlightDate")):
+        values = ("2025-10-01", "far")
+        (tmp_path / f"a {k}.csv").write_text(f"{header}\n{','.join(values if k == 0 else values[::-1])}\n")
+    df = src.read_flights_csv(spark, str(tmp_path))
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "layout" in text and "at_distance" not in text and "_metadata" not in text
+    names = spark.read.text(str(tmp_path)).select("_metadata.file_path").distinct().collect()
+    found = src.unfit_values(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in found) == sorted((r.file_path, "distance", 1, "far") for r in names)
+    for k in range(20):
+        (tmp_path / f"b{k}.csv").write_text(f"{'x,' * k}FlightDate,Distance\n{'0,' * k}2025-11-01,{k}\n")
+    rows = src.read_flights_csv(spark, str(tmp_path)).filter("month is null and flightdate = '2025-11-01'").collect()
+    assert sorted(r.distance for r in rows) == list(range(20))
+
+
 def test_append_raw(spark, make_flights, tmp_path):
     path = str(tmp_path / "raw")
     src.append_raw(make_flights([{}, {"flightdate": "2025-10-16"}]), path, "flightdate")
