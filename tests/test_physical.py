@@ -43,6 +43,24 @@ def test_cascades_have_no_nested_loops(table):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
+def test_matches_do_not_sort_the_flights(table):
+    text = plan(op.cascade_matches(table))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_tasks_of_derived_tables_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    from workload import frames
+
+    rows = spark.range(95).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber", "1.0D as l_extendedprice",
+        "timestamp'1995-01-01' as l_shipdate",
+    )
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(frames, "ROWS_PER_TASK", 10)
+    df = frames.derive(spark, str(tmp_path), "raw_flights")
+    assert df.rdd.getNumPartitions() == 10 and df.count() == 95
+
+
 def test_cascades_scan_the_flights_once_per_use(spark, table):
     pruning = "spark.sql.optimizer.dynamicPartitionPruning.enabled"  # shows the join's other side a second time
     spark.conf.set(pruning, "false")
