@@ -48,6 +48,12 @@ def test_matches_do_not_sort_the_flights(table):
     assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_impact_counts_flights_alike_before_their_tiers(table):
+    text = plan(op.cascade_impact(table, range(15, 241, 15)))
+    keys = [line.split("functions=")[0] for line in text.splitlines() if "Aggregate(keys=" in line]
+    assert any("longest_gap" in k for k in keys)
+
+
 def test_tasks_of_derived_tables_grow_with_the_rows(spark, tmp_path, monkeypatch):
     from workload import frames
 
