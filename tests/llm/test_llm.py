@@ -251,6 +251,33 @@ def test_line_links_follow_the_length(spark):
     assert {(r.doc_id, r.class_doc, r.n_links) for r in found.collect()} == {(0, 0, 1), (1, 0, 1)}
 
 
+def test_line_keys_are_not_shuffled(spark, monkeypatch):
+    """Stretches of the lines are dealt out, a few times their text at most; windows of one character each are not."""
+    rng, plans = random.Random(6), []
+
+    def kept(df, name, write=line_edit_join.materialize):
+        if name == "line-pairs":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(line_edit_join, "materialize", kept)
+    lines = ["".join(rng.choice("abcdefgh é𝄞") for _ in range(n)) for n in range(20, 900, 40)]
+    lines += [x[: len(x) // 2] + "Z" + x[len(x) // 2 + 1 :] for x in lines]
+    rows = [(i, x, len(x)) for i, x in enumerate(lines)]
+    table = spark.createDataFrame(rows + rows, "id long, line string, n int")
+    half = len(lines) // 2
+    assert {(r.x, r.y) for r in line_edit_join.edit_links(table).collect()} == {(i, i + half) for i in range(half)}
+    assert len(plans) == 1 and "hashpartitioning(key" not in plans[0] and ", key#" not in "".join(
+        x for x in plans[0].split("\n") if "Exchange" in x
+    )
+    monkeypatch.undo()
+    whole = {(r.x, r.y) for r in line_edit_join.candidates(table).collect()}
+    monkeypatch.setattr(line_edit_join, "CHARS_PER_SHARE", 8000)
+    assert {(r.x, r.y) for r in line_edit_join.candidates(table).collect()} == whole
+    sent = line_edit_join.stretches(table).agg(F.sum(F.char_length("part"))).first()[0]
+    assert sent < 3 * sum(map(len, lines))
+
+
 def test_passages_inside_long_sentences(spark):
     """Passages that begin and end mid-sentence, behind heads of every length, against a search for shared stretches."""
     rng = random.Random(4)
