@@ -466,3 +466,61 @@ def test_held_out_scores_are_above_the_base(spark):
     found = queries.op1_recurrent_lm(spark, "/root/testdata/sf0.01").filter("held_out")
     row = found.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
     assert row[0] > row[1] + 0.15
+
+
+def test_lines_with_one_head_are_no_pairs(spark):
+    """Lines that only have a key's length in common are not compared, however many there are; one with few edits still is."""
+    rng = random.Random(8)
+    lines = ["a head that all lines have " + "".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(60)]
+    lines.append(lines[0][:60] + "Z" + lines[0][60:])
+    table = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "id long, line string, n int")
+    assert {(r.x, r.y) for r in line_edit_join.candidates(table).collect()} == {(0, 60)}
+
+
+def test_spread_edits_are_found(spark):
+    """As many edits as are allowed, one in every segment, at its ends or all in one place, whatever the slices of pairs are."""
+    rng, lines = random.Random(9), []
+    for n in [*range(16, 120, 3), *range(120, 900, 41), 5000]:
+        k = max(min(n // 16, 2), n // 17)
+        own = "".join(rng.choice("abcdefghijklmnop é𝄞") for _ in range(n))
+        lines.append(own)
+        for places in (range(k), [rng.randrange(k + 1)] * k, sorted(rng.randrange(k + 1) for _ in range(k))):
+            line = list(own)
+            for i in reversed(list(places)):
+                first, last = i * n // (k + 1), (i + 1) * n // (k + 1)
+                at = rng.choice((first, last - 1, rng.randrange(first, last)))
+                line[at : at + 1] = rng.choice((["Z"], ["Z", line[at]], ["Z", line[at]]))
+            lines.append("".join(line))
+    table = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "id long, line string, n int")
+    found = {(r.x, r.y) for r in line_edit_join.edit_links(table, 1).collect()}
+    assert all((i, i + j) in found for i in range(0, len(lines), 4) for j in (1, 2, 3))
+
+
+def test_near_by_words_and_between(spark):
+    rng, rows = random.Random(10), []
+    for _ in range(300):
+        a = [rng.choice(("", "the", "word", "lines", "of")) for _ in range(rng.randint(1, 12))]
+        b = list(a)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(b))
+            b[at : at + 1] = rng.choice(([], ["new"], ["new", b[at]], [b[at] + "s"])) or ([] if len(b) > 1 else ["x"])
+        rows.append((" ".join(a), " ".join(b), rng.randint(0, 6)))
+    pairs = spark.createDataFrame(rows, "a string, b string, k int").select(
+        "*", (F.levenshtein("a", "b") <= F.col("k")).alias("near"), line_edit_join.near_by_words("a", "b", "k").alias("words"),
+        line_edit_join.near_between("a", "b", "k").alias("between"),
+    )
+    assert pairs.filter("a != b and between != near").isEmpty() and pairs.filter("words and not near").isEmpty()
+    assert pairs.filter("words and a != b").count() > 20 and pairs.filter("between and not words").count() > 20
+
+
+def test_lines_of_many_pairs_are_found(spark, monkeypatch):
+    """With more lines in pairs than are broadcast, their bits choose the texts that are joined; the links stay."""
+    rng = random.Random(11)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(60)]
+    lines += [x[:20] + "Z" + x[20:] for x in lines]
+    table = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "id long, line string, n int")
+    monkeypatch.setattr(line_edit_join, "SLICE_CHARS", 1)
+    few = {(r.x, r.y) for r in line_edit_join.edit_links(table).collect()}
+    monkeypatch.setattr(line_edit_join, "BROADCAST_ROWS", 20)
+    monkeypatch.setattr(line_edit_join, "SLOTS", 10)
+    assert {(r.x, r.y) for r in line_edit_join.edit_links(table).collect()} == few == {(i, i + 60) for i in range(60)}
